@@ -7,7 +7,7 @@ text deliveries, repeats included, for the cleaning step.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -70,6 +70,12 @@ def _lookup(value: Column, table: Mapping[str, str]) -> Column:
     return out
 
 
+def _small_table(spark: SparkSession, rows: Sequence[tuple[str, ...]], names: str) -> DataFrame:
+    # An inline table has a known size, so a join with it is planned as a broadcast.
+    values = ", ".join("(" + ", ".join(f"'{v}'" for v in row) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({names})")
+
+
 def _money(value: Column) -> Column:
     return value.cast("decimal(18,2)")
 
@@ -188,14 +194,10 @@ class SampleTables(Mapping):
 
     def dim_account(self) -> DataFrame:
         rows = [(key, kind, group) for key, (kind, group) in ACCOUNTS.items()]
-        return self.spark.createDataFrame(
-            rows, "account_id string, account_type string, account_group string"
-        )
+        return _small_table(self.spark, rows, "account_id, account_type, account_group")
 
     def dim_scenario(self) -> DataFrame:
-        return self.spark.createDataFrame(
-            list(SCENARIOS.items()), "scenario_id string, scenario_name string"
-        )
+        return _small_table(self.spark, list(SCENARIOS.items()), "scenario_id, scenario_name")
 
     def dim_time(self) -> DataFrame:
         return calendar_dim(self.spark, CALENDAR_START, CALENDAR_END)
