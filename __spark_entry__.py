@@ -284,14 +284,18 @@ def forecast_accuracy_aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Forecast ---------------------------------------------------------------------------------
 
 
-def _monthly(tables: SampleTables) -> DataFrame:
+def _monthly(tables: SampleTables, series_keys=fc.SERIES_KEYS) -> DataFrame:
     return fc.monthly_order_revenue(
-        tables.fact_orders(), tables.dim_entity(), tables.dim_product(), tables.dim_time()
+        tables.fact_orders(),
+        tables.dim_entity(),
+        tables.dim_product(),
+        tables.dim_time(),
+        series_keys,
     )
 
 
 def _series(tables: SampleTables) -> DataFrame:
-    return fc.series_months(_monthly(tables), SERIES)
+    return fc.series_months(_monthly(tables, SERIES), SERIES)
 
 
 def _features(tables: SampleTables) -> DataFrame:

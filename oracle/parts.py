@@ -207,11 +207,13 @@ WHERE NOT is_consolidated
 GROUP BY ALL
 """,
     "x_lead": """
-SELECT business_unit, region, product_family, fiscal_year, fiscal_month, end_market, is_aftermarket
-FROM x_monthly
+SELECT * FROM (
+  SELECT business_unit, region, product_family, fiscal_year, fiscal_month, end_market, is_aftermarket,
+         SUM(monthly_revenue) AS part_revenue
+  FROM x_monthly GROUP BY ALL)
 QUALIFY row_number() OVER (
   PARTITION BY business_unit, region, product_family, fiscal_year, fiscal_month
-  ORDER BY monthly_revenue DESC, end_market DESC, is_aftermarket DESC) = 1
+  ORDER BY part_revenue DESC, end_market DESC, is_aftermarket DESC) = 1
 """,
     "x_series": """
 SELECT s.*, l.end_market, l.is_aftermarket,

@@ -60,9 +60,13 @@ NORMAL_95 = 1.96
 
 
 def monthly_order_revenue(
-    orders: DataFrame, entity: DataFrame, product: DataFrame, time: DataFrame
+    orders: DataFrame,
+    entity: DataFrame,
+    product: DataFrame,
+    time: DataFrame,
+    series_keys: Sequence[str] = SERIES_KEYS,
 ) -> DataFrame:
-    """Order revenue and open backlog by entity, product traits and month.
+    """Order revenue and open backlog by series, categorical traits and month.
 
     Consolidating entities are left out. The backlog is summed in the same pass
     over the orders as the revenue.
@@ -77,18 +81,9 @@ def monthly_order_revenue(
         )
         .join(time.select("time_id", "fiscal_year", "fiscal_month", "fiscal_quarter"), "time_id")
     )
+    grain = [*series_keys, *CATEGORICAL_FEATURES, "fiscal_year", "fiscal_month", "fiscal_quarter"]
     open_amount = F.when(F.col("backlog_flag"), F.col("net_amount_usd"))
-    return rows.groupBy(
-        "entity_id",
-        "business_unit",
-        "region",
-        "product_family",
-        "end_market",
-        "is_aftermarket",
-        "fiscal_year",
-        "fiscal_month",
-        "fiscal_quarter",
-    ).agg(
+    return rows.groupBy(*dict.fromkeys(grain)).agg(
         F.sum("net_amount_usd").alias(TARGET),
         F.coalesce(F.sum(open_amount), F.lit(0)).cast("decimal(28,2)").alias("order_backlog_value"),
     )
@@ -183,7 +178,8 @@ def forecast_features(
     gap_aware: bool = False,
 ) -> DataFrame:
     """All features and the target, one row per series and month."""
-    series = series_months(monthly_order_revenue(orders, entity, product, time), series_keys)
+    monthly = monthly_order_revenue(orders, entity, product, time, series_keys)
+    series = series_months(monthly, series_keys)
     series = with_rolling(with_lags(series, series_keys, gap_aware), series_keys, gap_aware)
     return (
         series.withColumn("month_of_year", F.col("fiscal_month"))

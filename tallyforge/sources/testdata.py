@@ -113,6 +113,8 @@ class SampleTables(Mapping):
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        # Frames by name: opening a parquet folder lists files and reads a footer.
+        self._frames: dict[str, DataFrame] = {}
         self._builders: dict[str, Callable[[], DataFrame]] = {
             "silver_dim_entity": self.dim_entity,
             "silver_dim_account": self.dim_account,
@@ -152,8 +154,13 @@ class SampleTables(Mapping):
             ),
         }
 
+    def _once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if name not in self._frames:
+            self._frames[name] = build()
+        return self._frames[name]
+
     def __getitem__(self, name: str) -> DataFrame:
-        return self._builders[name]()
+        return self._once(name, self._builders[name])
 
     def __iter__(self) -> Iterator[str]:
         return iter(self._builders)
@@ -162,16 +169,12 @@ class SampleTables(Mapping):
         return len(self._builders)
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder.rstrip('/')}/{name}.parquet")
+        path = f"{self.folder.rstrip('/')}/{name}.parquet"
+        return self._once(f"raw_{name}", lambda: self.spark.read.parquet(path))
 
     def star(self) -> tuple[DataFrame, ...]:
-        return (
-            self.fact_gl_journal(),
-            self.dim_account(),
-            self.dim_entity(),
-            self.dim_time(),
-            self.dim_scenario(),
-        )
+        names = ("fact_gl_journal", "dim_account", "dim_entity", "dim_time", "dim_scenario")
+        return tuple(self[f"silver_{name}"] for name in names)
 
     # Dimensions -------------------------------------------------------------
 
@@ -223,8 +226,17 @@ class SampleTables(Mapping):
     # Facts ------------------------------------------------------------------
 
     def lines(self) -> DataFrame:
-        """Line items, latest version of each."""
-        return dedup_latest(self.raw("lineitem"), LINE_KEY, ["l_shipdate"], LINE_TIES)
+        """Line items, latest version of each; rows without a full key are dropped.
+
+        The key filter is the same for every fact, so that one query with
+        several facts reads and shuffles the line items once.
+        """
+
+        def build() -> DataFrame:
+            latest = dedup_latest(self.raw("lineitem"), LINE_KEY, ["l_shipdate"], LINE_TIES)
+            return latest.where(F.col("l_orderkey").isNotNull() & F.col("l_linenumber").isNotNull())
+
+        return self._once("lines", build)
 
     def _with_orders(self, lines: DataFrame, *columns: str) -> DataFrame:
         orders = self.raw("orders").select("o_orderkey", *columns)
