@@ -149,9 +149,10 @@ def run_all(
     bronze_root: str,
     warehouse: Warehouse,
     params: fc.TreeParams | None = None,
+    series_keys: Sequence[str] = fc.SERIES_KEYS,
 ) -> dict[str, dict[str, int]]:
     """Ingest, clean, aggregate and forecast; returns the violation counts."""
     counts = build_silver(warehouse, build_bronze(spark, landing, bronze_root))
     build_gold(warehouse)
-    build_forecast(warehouse, params)
+    build_forecast(warehouse, params, series_keys)
     return counts

@@ -454,15 +454,19 @@ def _account_rows(t: SampleTables):
     )
 
 
+def _scenario_id() -> Column:
+    year = F.year("o_orderdate").cast("string")
+    return F.concat(F.lit("S"), year, F.left("o_orderpriority", F.lit(1)))
+
+
 def _scenario_rows(t: SampleTables):
-    year = F.year("o_orderdate")
     return (
         t.raw("orders"),
         F.col("o_orderdate"),
         {
-            "scenario_id": F.concat(F.lit("S"), year.cast("string"), F.left("o_orderpriority", F.lit(1))),
+            "scenario_id": _scenario_id(),
             "scenario_name": _lookup(F.col("o_orderpriority"), SCENARIOS),
-            "scenario_year": year,
+            "scenario_year": F.year("o_orderdate"),
             "is_locked": F.col("o_orderstatus") == "F",
         },
     )
@@ -522,7 +526,7 @@ def _cost_center_rows(t: SampleTables):
 
 
 def _gl_rows(t: SampleTables):
-    rows = t._with_orders(t.raw("lineitem"), "o_custkey", "o_orderpriority")
+    rows = t._with_orders(t.raw("lineitem"), "o_custkey", "o_orderdate", "o_orderpriority")
     amount = _money(F.col("l_extendedprice"))
     return (
         rows,
@@ -531,7 +535,7 @@ def _gl_rows(t: SampleTables):
             "journal_id": _line_id("J"),
             "entity_id": F.col("o_custkey"),
             "account_id": F.concat("l_returnflag", "l_linestatus"),
-            "scenario_id": F.col("o_orderpriority"),
+            "scenario_id": _scenario_id(),
             "time_id": date_key(F.col("l_shipdate")),
             "flow_type": "Operating",
             "intercompany_entity_id": None,
