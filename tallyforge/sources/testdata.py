@@ -473,8 +473,9 @@ def _scenario_rows(t: SampleTables):
 
 
 def _time_rows(t: SampleTables):
-    days = t.raw("lineitem").select(_day("l_shipdate").alias("calendar_date"))
-    rows = with_fiscal_columns(days)
+    shipped = t.raw("lineitem").select(_day("l_shipdate").alias("calendar_date"))
+    ordered = t.raw("orders").select(_day("o_orderdate").alias("calendar_date"))
+    rows = with_fiscal_columns(shipped.unionByName(ordered))
     return rows, F.col("calendar_date"), {c: F.col(c) for c in rows.columns}
 
 

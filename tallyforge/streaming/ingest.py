@@ -10,13 +10,16 @@ from tallyforge.sources.feeds import INGESTED_AT, SOURCE_FILE, Feed
 from tallyforge.sources.files import CSV_OPTIONS
 
 
+# Files per micro-batch: a backlog is taken in steps, so a restart repeats one step.
+MAX_FILES = 10_000
+
+
 def landed_stream(
-    spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None
+    spark: SparkSession, path: str, schema: T.StructType, max_files: int = MAX_FILES
 ) -> DataFrame:
     """Stream of rows from files that match ``path``, with ingest metadata."""
     reader = spark.readStream.schema(schema).options(**CSV_OPTIONS, enforceSchema="false")
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    reader = reader.option("maxFilesPerTrigger", max_files)
     names = schema.fieldNames()
     return reader.csv(path).select(
         *names,
@@ -31,7 +34,7 @@ def ingest(
     schema: T.StructType,
     out: str,
     checkpoint: str,
-    max_files: int | None = None,
+    max_files: int = MAX_FILES,
 ) -> None:
     """Append everything that landed since the last run, then stop.
 
@@ -53,7 +56,7 @@ def ingest_feed(
     feed: Feed,
     landing_root: str,
     bronze_root: str,
-    max_files: int | None = None,
+    max_files: int = MAX_FILES,
 ) -> DataFrame:
     """Ingest one feed and return its bronze rows so far."""
     out = f"{bronze_root.rstrip('/')}/{feed.bronze_table}"
