@@ -21,6 +21,7 @@ from tallyforge.operators.quality import (
 from tallyforge.operators.silver import silver_report, to_silver
 from tallyforge.plans import forecast as fc
 from tallyforge.plans import gold, metrics
+from tallyforge.plans.medallion import GOLD_TABLES
 from tallyforge.plans.questions import QUESTIONS
 from tallyforge.plans.reports import REPORTS, ReportFilter
 from tallyforge.session import scratch_path
@@ -386,7 +387,7 @@ def queries() -> dict[str, Query]:
             )
         ),
     }
-    out |= {name: _table(name) for name in SampleTables(None, "") if name.startswith("gold_")}
+    out |= {spec.name: _table(spec.name) for spec in GOLD_TABLES}
     out |= {name: _view(name) for name in VIEW_GRAINS}
     out |= {
         "mv_forecast_accuracy_aligned": lambda s, d: present(forecast_accuracy_aligned(s, d)),

@@ -276,7 +276,8 @@ SELECT business_unit, {_sum("revenue")}, {_sum("ebitda")}, {_rate("ebitda", "rev
 FROM x_bridge WHERE {ACTUAL} GROUP BY ALL
 """,
     "q_fcf_by_quarter": f"""
-SELECT fiscal_quarter, {_sum("operating_cf")}, {_sum("capex")}, {_sum("fcf")}, {_avg("fcf_conversion_pct")}
+SELECT fiscal_quarter, {_sum("operating_cf")}, {_sum("capex")}, {_sum("fcf")},
+       {_avg("fcf_conversion_pct")}, {_money_label("SUM(fcf)")} AS fcf_label
 FROM x_cash WHERE {TRUSTED} GROUP BY ALL
 """,
     "q_cash_kpis": f"""
@@ -296,7 +297,9 @@ SELECT business_unit, region, {_avg("dso")}, {_avg("dpo")}, {_avg("inventory_tur
 FROM x_working_capital WHERE {HERE_NOW} GROUP BY ALL
 """,
     "q_wc_kpis": f"""
-SELECT {_avg("dso", "avg_dso")}, {_avg("dpo", "avg_dpo")}, {_avg("inventory_turns", "avg_inventory_turns")}
+SELECT {_avg("dso", "avg_dso")}, {_avg("dpo", "avg_dpo")}, {_avg("inventory_turns", "avg_inventory_turns")},
+       printf('%.0f days', AVG(dso)) AS avg_dso_label, printf('%.0f days', AVG(dpo)) AS avg_dpo_label,
+       printf('%.1fx', AVG(inventory_turns)) AS avg_turns_label
 FROM (SELECT AVG(dso) AS dso, AVG(dpo) AS dpo, AVG(inventory_turns) AS inventory_turns
       FROM x_working_capital WHERE {HERE_NOW} GROUP BY business_unit, region)
 """,

@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyforge.operators.silver import to_silver_observed
 from tallyforge.plans import forecast as fc
@@ -101,13 +102,26 @@ def build_bronze(spark: SparkSession, landing: str, bronze_root: str) -> dict[st
 def build_silver(
     warehouse: Warehouse, bronze: Tables, feeds: Sequence[str] | None = None
 ) -> dict[str, dict[str, int]]:
-    """Write the cleaned tables; returns the violation counts of each."""
+    """Write the cleaned tables; returns the violation counts of each.
+
+    The counts are also appended to ``expectation_log``, one row per rule.
+    """
     counts = {}
     for name in feeds or FEEDS:
         feed = FEEDS[name]
         clean, casts, rules = to_silver_observed(bronze[name], feed)
         warehouse.write(feed.silver_table, clean, "silver", f"Cleaned {name} rows")
         counts[feed.silver_table] = {**casts.get, **rules.get}
+    entries = [
+        (table, rule, found["rows"], failed)
+        for table, found in counts.items()
+        for rule, failed in found.items()
+        if rule != "rows"
+    ]
+    log = warehouse.spark.createDataFrame(
+        entries, "table_name string, expectation string, row_count bigint, failed bigint"
+    )
+    warehouse.append("expectation_log", log.withColumn("logged_at", F.current_timestamp()))
     return counts
 
 

@@ -173,6 +173,7 @@ def q_fcf_by_quarter(tables: Tables, flt: ReportFilter) -> DataFrame:
             *[F.sum(m).alias(m) for m in ("operating_cf", "capex", "fcf")],
             F.avg("fcf_conversion_pct").alias("fcf_conversion_pct"),
         )
+        .withColumn("fcf_label", currency_label(F.col("fcf")))
         .orderBy("fiscal_quarter")
     )
 
@@ -218,7 +219,13 @@ def q_working_capital(tables: Tables, flt: ReportFilter) -> DataFrame:
 def q_wc_kpis(tables: Tables, flt: ReportFilter) -> DataFrame:
     """Plain mean of the unit-and-region means."""
     measures = ["dso", "dpo", "inventory_turns"]
-    return _working_capital(tables, flt).agg(*[F.avg(m).alias(f"avg_{m}") for m in measures])
+    kpis = _working_capital(tables, flt).agg(*[F.avg(m).alias(f"avg_{m}") for m in measures])
+    return kpis.select(
+        "*",
+        F.format_string("%.0f days", F.bround("avg_dso", 0)).alias("avg_dso_label"),
+        F.format_string("%.0f days", F.bround("avg_dpo", 0)).alias("avg_dpo_label"),
+        F.format_string("%.1fx", F.bround("avg_inventory_turns", 1)).alias("avg_turns_label"),
+    )
 
 
 # Aftermarket and backlog ------------------------------------------------------

@@ -13,6 +13,8 @@ from tallyforge.operators.quality import Expectation
 
 INGESTED_AT = "_ingested_at"
 SOURCE_FILE = "_source_file"
+# The whole text of a line that has too many or too few cells.
+RESCUED = "_rescued_data"
 
 
 @dataclass(frozen=True)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from datetime import date
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +27,8 @@ from tallyforge.functions.measures import (
     remaining_spend,
 )
 from tallyforge.operators.dedup import dedup_latest
-from tallyforge.plans import gold, metrics
+from tallyforge.plans import metrics
+from tallyforge.plans.medallion import GOLD_TABLES, TableSpec
 from tallyforge.sources.feeds import INGESTED_AT, SOURCE_FILE, Feed
 
 # Fixed values of the mapping below.
@@ -130,35 +132,21 @@ class SampleTables(Mapping):
             "silver_fact_debt_schedule": self.fact_debt_schedule,
             "silver_fact_fx_rates": self.fact_fx_rates,
             "silver_fact_capex": self.fact_capex,
-            "gold_revenue_summary": lambda: gold.gold_revenue_summary(*self.star()),
-            "gold_ebitda_bridge": lambda: gold.gold_ebitda_bridge(*self.star()),
-            "gold_cash_flow_summary": lambda: gold.gold_cash_flow_summary(*self.star()),
-            "gold_leverage_metrics": lambda: gold.gold_leverage_metrics(
-                self.fact_debt_schedule(), self.dim_time()
-            ),
-            "gold_working_capital": lambda: gold.gold_working_capital(
-                self.fact_working_capital(), self.dim_entity(), self.dim_time()
-            ),
-            "gold_aftermarket_mix": lambda: gold.gold_aftermarket_mix(
-                self.fact_service(), self.fact_orders(), self.dim_entity(), self.dim_time()
-            ),
-            "gold_order_backlog": lambda: gold.gold_order_backlog(
-                self.fact_orders(), self.dim_entity(), self.dim_time()
-            ),
-            "gold_plant_performance": lambda: gold.gold_plant_performance(
-                self.fact_production(), self.dim_cost_center(), self.dim_time()
-            ),
             "ml_revenue_forecast": self.planned_forecast,
             "forecast_with_actuals": lambda: metrics.forecast_with_actuals(
-                self.planned_forecast(), self.dim_entity(), self["gold_revenue_summary"]
+                self["ml_revenue_forecast"], self["silver_dim_entity"], self["gold_revenue_summary"]
             ),
         }
+        self._builders |= {spec.name: partial(self._kpi_table, spec) for spec in GOLD_TABLES}
 
     def _once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if name not in self._frames:
             self._frames[name] = build()
         return self._frames[name]
 
+    def _kpi_table(self, spec: TableSpec) -> DataFrame:
+        return spec.build(*[self[name] for name in spec.inputs])
+
     def __getitem__(self, name: str) -> DataFrame:
         return self._once(name, self._builders[name])
 

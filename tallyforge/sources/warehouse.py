@@ -42,6 +42,13 @@ class Warehouse(Mapping):
         if text:
             self.spark.sql(f"ALTER TABLE {self.qualified(table)} SET TBLPROPERTIES ({text})")
 
+    def append(self, table: str, df: DataFrame) -> None:
+        df.write.mode("append").format("parquet").saveAsTable(self.qualified(table))
+
+    def probe(self, table: str) -> bool:
+        """Whether the table can be read and holds a row; stops at the first one."""
+        return self[table].select(F.lit(1).alias("ping")).limit(1).count() == 1
+
     def query(self, text: str, **args) -> DataFrame:
         """SQL with named parameters (``:name``), run inside this database.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyforge.sources.feeds import INGESTED_AT, SOURCE_FILE, Feed
+from tallyforge.sources.feeds import INGESTED_AT, RESCUED, SOURCE_FILE, Feed
 from tallyforge.sources.files import CSV_OPTIONS
 
 
@@ -17,12 +17,20 @@ MAX_FILES = 10_000
 def landed_stream(
     spark: SparkSession, path: str, schema: T.StructType, max_files: int = MAX_FILES
 ) -> DataFrame:
-    """Stream of rows from files that match ``path``, with ingest metadata."""
-    reader = spark.readStream.schema(schema).options(**CSV_OPTIONS, enforceSchema="false")
-    reader = reader.option("maxFilesPerTrigger", max_files)
-    names = schema.fieldNames()
+    """Stream of rows from files that match ``path``, with ingest metadata.
+
+    A file whose header differs from ``schema`` stops the run. A line with the
+    wrong number of cells is kept, with its full text in the rescue column.
+    """
+    full = T.StructType([*schema.fields, T.StructField(RESCUED, T.StringType())])
+    reader = spark.readStream.schema(full).options(
+        **CSV_OPTIONS,
+        enforceSchema="false",
+        columnNameOfCorruptRecord=RESCUED,
+        maxFilesPerTrigger=max_files,
+    )
     return reader.csv(path).select(
-        *names,
+        *full.fieldNames(),
         F.current_timestamp().alias(INGESTED_AT),
         F.col("_metadata.file_path").alias(SOURCE_FILE),
     )
@@ -76,6 +84,7 @@ def read_bronze(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     full = T.StructType(
         [
             *schema.fields,
+            T.StructField(RESCUED, T.StringType()),
             T.StructField(INGESTED_AT, T.TimestampType()),
             T.StructField(SOURCE_FILE, T.StringType()),
         ]

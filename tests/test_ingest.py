@@ -78,6 +78,16 @@ def test_wrong_header_is_an_error(spark, root):
         run(spark, root)
 
 
+def test_ragged_lines_are_kept_with_their_text(spark, root):
+    land(root, "fx_rates_1.csv", [rate(1, 1.1), rate(2, 1.2) + ",extra", "FX3,EUR"])
+    rows = {r.rate_id: r for r in run(spark, root).collect()}
+    assert rows["FX1"]._rescued_data is None
+    assert rows["FX2"]._rescued_data.endswith(",extra") and rows["FX2"].avg_rate == "1.0"
+    assert rows["FX3"]._rescued_data == "FX3,EUR" and rows["FX3"].spot_rate is None
+    clean = to_silver(run(spark, root), FX)
+    assert clean.count() == 3 and "_rescued_data" not in clean.columns
+
+
 def test_csv_round_trip_keeps_awkward_text(spark, root, make):
     awkward = [("a,b", 'say "hi"'), ("it's", None), ("ü\\n", "x")]
     df = make(awkward, "currency_code string, currency_name string")

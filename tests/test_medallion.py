@@ -42,5 +42,9 @@ def test_landing_to_forecast(spark):
     before = house["silver_fact_orders"].count()
     build_silver(house, build_bronze(*places), ["orders"])
     assert house["silver_fact_orders"].count() == before
+    assert house.probe("gold_order_backlog")
+    log = house["expectation_log"]
+    assert log.where("expectation = 'positive_qty'").count() == 2
+    assert log.where("failed > 0").count() == 0
     tags = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {house.qualified('gold_order_backlog')}").collect()}
     assert tags["quality"] == "gold"
