@@ -1,5 +1,7 @@
 """KPI tables, metric views, reports, questions and forecast features."""
 
+from oracle.parts import mean_of, mean_units
+
 TRUSTED = "fiscal_year = 2000"
 UNITS = "business_unit IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY')"
 REGIONS = "region IN ('AFRICA', 'AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST')"
@@ -23,6 +25,12 @@ def _rate(num: str, den: str, name: str, scale: str = "") -> str:
     )
 
 
+def _mean_again(column: str, scale: int) -> str:
+    """Mean of whole units of ten to the minus ``scale``, with four more places."""
+    units = mean_units(f"(SUM({column})::HUGEINT * 10000)", "COUNT(*)")
+    return f"CAST({units} AS DOUBLE) / {10 ** (scale + 4)}"
+
+
 def _money_label(column: str) -> str:
     """Magnitude text of a sum that has no tie at its first decimal."""
     c = f"CAST({column} AS DOUBLE)"
@@ -111,8 +119,9 @@ LEFT JOIN (
 """,
     "gold_working_capital": """
 SELECT entity_name, business_unit, region, fiscal_year, fiscal_quarter, fiscal_month,
-       round(dso, 6) AS dso, round(dpo, 6) AS dpo, round(inventory_turns, 6) AS inventory_turns,
-       round(cash_conversion_cycle, 6) AS cash_conversion_cycle
+       CAST(dso AS DOUBLE) AS dso, CAST(dpo AS DOUBLE) AS dpo,
+       CAST(inventory_turns AS DOUBLE) AS inventory_turns,
+       CAST(cash_conversion_cycle AS DOUBLE) AS cash_conversion_cycle
 FROM x_working_capital
 """,
     "gold_aftermarket_mix": """
@@ -132,8 +141,8 @@ FROM x_backlog
 """,
     "gold_plant_performance": """
 SELECT plant_id, plant_name, plant_country, fiscal_year, fiscal_quarter,
-       round(utilization_pct, 6) AS utilization_pct, round(cost_variance_pct, 6) AS cost_variance_pct,
-       round(scrap_rate, 6) AS scrap_rate, CAST(total_units AS BIGINT) AS total_units
+       CAST(utilization_pct AS DOUBLE) AS utilization_pct,
+       round(cost_variance_pct, 6) AS cost_variance_pct, CAST(scrap_rate AS DOUBLE) AS scrap_rate, CAST(total_units AS BIGINT) AS total_units
 FROM x_plants
 """,
 }
@@ -166,8 +175,9 @@ FROM x_leverage GROUP BY ALL
 """,
     "mv_working_capital": f"""
 SELECT business_unit AS "Business Unit", region AS "Region", fiscal_year AS "Fiscal Year",
-       {_avg("dso", "DSO")}, {_avg("dpo", "DPO")}, {_avg("inventory_turns", "Inventory Turns")},
-       {_avg("cash_conversion_cycle", "Cash Conversion Cycle")}
+       {mean_of("dso", 5)} AS "DSO", {mean_of("dpo", 5)} AS "DPO",
+       {mean_of("inventory_turns", 6)} AS "Inventory Turns",
+       {mean_of("cash_conversion_cycle", 5)} AS "Cash Conversion Cycle"
 FROM x_working_capital GROUP BY ALL
 """,
     "mv_aftermarket": f"""
@@ -198,14 +208,14 @@ FROM (SELECT business_unit, region, forecast_month, SUM(predicted_revenue) AS p,
              ANY_VALUE(actual_revenue) AS a
       FROM x_forecast_actual GROUP BY ALL)
 """,
-    "metric_parity": """
+    "metric_parity": f"""
 SELECT kpi, fiscal_year, round(v, 6) AS gold_value, round(v, 6) AS metric_value, true AS matches FROM (
   SELECT 'revenue' AS kpi, fiscal_year, CAST(SUM(revenue_usd) AS DOUBLE) AS v
   FROM x_revenue_summary GROUP BY ALL
   UNION ALL SELECT 'ebitda', fiscal_year, CAST(SUM(ebitda) AS DOUBLE) FROM x_bridge GROUP BY ALL
   UNION ALL SELECT 'ebitda_margin', fiscal_year, CAST(SUM(ebitda) AS DOUBLE) / CAST(SUM(revenue) AS DOUBLE)
   FROM x_bridge GROUP BY ALL
-  UNION ALL SELECT 'dso', fiscal_year, AVG(dso) FROM x_working_capital GROUP BY ALL
+  UNION ALL SELECT 'dso', fiscal_year, {mean_of("dso", 5)} FROM x_working_capital GROUP BY ALL
   UNION ALL SELECT 'aftermarket_mix_pct', fiscal_year,
     CAST(SUM(aftermarket_revenue) AS DOUBLE) / CAST(SUM(total_revenue) AS DOUBLE) * 100
   FROM x_aftermarket GROUP BY ALL
@@ -292,16 +302,22 @@ SELECT fiscal_quarter, {_avg("net_leverage")}, {_avg("interest_coverage")},
 FROM x_leverage WHERE {TRUSTED} GROUP BY ALL
 """,
     "q_working_capital": f"""
-SELECT business_unit, region, {_avg("dso")}, {_avg("dpo")}, {_avg("inventory_turns")},
-       {_avg("cash_conversion_cycle")}
+SELECT business_unit, region, {mean_of("dso", 5)} AS dso, {mean_of("dpo", 5)} AS dpo,
+       {mean_of("inventory_turns", 6)} AS inventory_turns,
+       {mean_of("cash_conversion_cycle", 5)} AS cash_conversion_cycle
 FROM x_working_capital WHERE {HERE_NOW} GROUP BY ALL
 """,
     "q_wc_kpis": f"""
-SELECT {_avg("dso", "avg_dso")}, {_avg("dpo", "avg_dpo")}, {_avg("inventory_turns", "avg_inventory_turns")},
-       printf('%.0f days', AVG(dso)) AS avg_dso_label, printf('%.0f days', AVG(dpo)) AS avg_dpo_label,
-       printf('%.1fx', AVG(inventory_turns)) AS avg_turns_label
-FROM (SELECT AVG(dso) AS dso, AVG(dpo) AS dpo, AVG(inventory_turns) AS inventory_turns
-      FROM x_working_capital WHERE {HERE_NOW} GROUP BY business_unit, region)
+SELECT *, printf('%.0f days', avg_dso) AS avg_dso_label, printf('%.0f days', avg_dpo) AS avg_dpo_label,
+       printf('%.1fx', avg_inventory_turns) AS avg_turns_label
+FROM (
+  SELECT {_mean_again("dso", 9)} AS avg_dso, {_mean_again("dpo", 9)} AS avg_dpo,
+         {_mean_again("turns", 10)} AS avg_inventory_turns
+  FROM (
+    SELECT CAST(round({mean_of("dso", 5)} * 1e9) AS HUGEINT) AS dso,
+           CAST(round({mean_of("dpo", 5)} * 1e9) AS HUGEINT) AS dpo,
+           CAST(round({mean_of("inventory_turns", 6)} * 1e10) AS HUGEINT) AS turns
+    FROM x_working_capital WHERE {HERE_NOW} GROUP BY business_unit, region))
 """,
     "q_aftermarket": f"""
 SELECT business_unit, region, fiscal_quarter, CAST(aftermarket_revenue AS DOUBLE) AS aftermarket_revenue,
@@ -393,8 +409,8 @@ SELECT fiscal_year, fiscal_quarter, {_rate("net_debt", "ltm_ebitda", "net_levera
 FROM {_latest("x_leverage", 8)} GROUP BY ALL
 """,
     "nlq_top_dso": f"""
-SELECT entity_name, fiscal_year, fiscal_quarter, {_avg("dso")}
-FROM {_latest("x_working_capital")} GROUP BY ALL ORDER BY AVG(dso) DESC, entity_name LIMIT 10
+SELECT entity_name, fiscal_year, fiscal_quarter, {mean_of("dso", 5)} AS dso
+FROM {_latest("x_working_capital")} GROUP BY ALL ORDER BY dso DESC, entity_name LIMIT 10
 """,
     "nlq_mix_below_30": f"""
 SELECT *, mix_pct < 30 AS below_target FROM (
@@ -403,7 +419,7 @@ SELECT *, mix_pct < 30 AS below_target FROM (
   FROM {_latest("x_aftermarket")} GROUP BY ALL)
 """,
     "nlq_plants_under_70": f"""
-SELECT plant_id, plant_name, fiscal_year, fiscal_quarter, round(utilization_pct, 6) AS utilization_pct
+SELECT plant_id, plant_name, fiscal_year, fiscal_quarter, CAST(utilization_pct AS DOUBLE) AS utilization_pct
 FROM {_latest("x_plants")} WHERE utilization_pct < 0.70
 """,
     "nlq_b2b_6m": f"""

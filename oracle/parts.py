@@ -1,5 +1,22 @@
 """Shared ``WITH`` parts: planning tables over the raw tables."""
 
+
+def mean_units(total: str, count: str) -> str:
+    """Whole units nearest to total / count, halves away from zero."""
+    return f"(sign({total}) * ((2 * abs({total}) + {count}) // (2 * {count})))"
+
+
+def mean_of(column: str, scale: int) -> str:
+    """Mean of a decimal column with four more places than it has, as a double."""
+    total = f"SUM(CAST({column} * {10**scale} AS BIGINT))::HUGEINT * 10000"
+    return f"CAST({mean_units(f'({total})', f'COUNT({column})')} AS DOUBLE) / {10 ** (scale + 4)}"
+
+
+def _mean_decimal(total: str, scale: int) -> str:
+    units = mean_units(f"({total})", "COUNT(*)")
+    return f"CAST(CAST({units} AS DOUBLE) / {10**scale} AS DECIMAL(18,{scale}))"
+
+
 PARTS: dict[str, str] = {
     "x_line": """
 SELECT * FROM lineitem
@@ -123,13 +140,13 @@ SELECT o_custkey AS entity_id, CAST(l_shipdate AS DATE) AS d,
          // (2 * CAST(round(p_retailprice * 100) AS BIGINT)) AS turns_hundredths
 FROM x_line JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
 """,
-    "x_working_capital": """
+    "x_working_capital": f"""
 SELECT *, dso - dpo + 30 AS cash_conversion_cycle FROM (
   SELECT entity_name, business_unit, region, CAST(year(d) AS INT) AS fiscal_year,
          'Q' || quarter(d) AS fiscal_quarter, CAST(month(d) AS INT) AS fiscal_month,
-         CAST(SUM(dso) AS DOUBLE) / COUNT(dso) AS dso,
-         CAST(SUM(dpo) AS DOUBLE) / COUNT(dpo) AS dpo,
-         CAST(SUM(turns_hundredths) / 100.0 AS DOUBLE) / COUNT(*) AS inventory_turns
+         {_mean_decimal("SUM(dso) * 100000", 5)} AS dso,
+         {_mean_decimal("SUM(dpo) * 100000", 5)} AS dpo,
+         {_mean_decimal("SUM(turns_hundredths) * 10000", 6)} AS inventory_turns
   FROM x_wc JOIN x_entity USING (entity_id)
   GROUP BY ALL)
 """,
@@ -161,14 +178,15 @@ FROM (
   FROM x_orders JOIN x_entity USING (entity_id)
   GROUP BY ALL)
 """,
-    "x_plants": """
+    "x_plants": f"""
 SELECT s_nationkey AS plant_id, n_name AS plant_name, r_name AS plant_country,
        CAST(year(l_shipdate) AS INT) AS fiscal_year, 'Q' || quarter(l_shipdate) AS fiscal_quarter,
-       CAST(SUM(CAST(1 - 7.5 * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(8,4))) AS DOUBLE) / COUNT(*)
+       {_mean_decimal("SUM(CAST((1 - 7.5 * CAST(l_tax AS DECIMAL(4,2))) * 10000 AS BIGINT)) * 10000", 8)}
          AS utilization_pct,
        AVG(CASE WHEN standard <> 0 THEN
          CAST(actual - standard AS DOUBLE) / CAST(standard AS DOUBLE) * 100 END) AS cost_variance_pct,
-       CAST(SUM(CAST(l_discount AS DECIMAL(8,4))) AS DOUBLE) / COUNT(*) AS scrap_rate,
+       {_mean_decimal("SUM(CAST(CAST(l_discount AS DECIMAL(8,4)) * 10000 AS BIGINT)) * 10000", 8)}
+         AS scrap_rate,
        SUM(CAST(l_quantity AS BIGINT)) AS total_units
 FROM (
   SELECT *, CAST(l_extendedprice AS DECIMAL(18,2)) AS actual,
@@ -247,11 +265,11 @@ WINDOW w3 AS (PARTITION BY business_unit, region, product_family ORDER BY month_
        w6 AS (PARTITION BY business_unit, region, product_family ORDER BY month_index
               ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING)
 """,
-    "x_features": """
+    "x_features": f"""
 SELECT r.*, r.fiscal_month AS month_of_year, CAST(r.fiscal_quarter[2:] AS INT) AS quarter,
        u.utilization_pct, x.fx_rate_avg
 FROM x_rolled r
-LEFT JOIN (SELECT fiscal_year, fiscal_quarter, AVG(utilization_pct) AS utilization_pct
+LEFT JOIN (SELECT fiscal_year, fiscal_quarter, {mean_of("utilization_pct", 8)} AS utilization_pct
            FROM x_plants GROUP BY ALL) u USING (fiscal_year, fiscal_quarter)
 LEFT JOIN (SELECT CAST(year(l_shipdate) AS INT) AS fiscal_year, CAST(month(l_shipdate) AS INT) AS fiscal_month,
                   CAST(SUM(CAST(1 + CAST(l_tax AS DECIMAL(12,6)) / 2 AS DECIMAL(12,6))) AS DOUBLE)

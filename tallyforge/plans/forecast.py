@@ -153,7 +153,7 @@ def with_rolling(
 
 def utilization_by_quarter(plants: DataFrame) -> DataFrame:
     return plants.groupBy("fiscal_year", "fiscal_quarter").agg(
-        F.avg("utilization_pct").alias("utilization_pct")
+        F.avg("utilization_pct").cast("double").alias("utilization_pct")
     )
 
 

@@ -213,7 +213,7 @@ def _parity_checks() -> list[tuple[str, str, Column, str, str]]:
         (
             "dso",
             "gold_working_capital",
-            F.try_divide(F.sum("dso"), F.count("dso")),
+            F.avg("dso").cast("double"),
             "mv_working_capital",
             "DSO",
         ),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.functions.text import currency_label, millions_label, percent_label
@@ -220,11 +220,15 @@ def q_wc_kpis(tables: Tables, flt: ReportFilter) -> DataFrame:
     """Plain mean of the unit-and-region means."""
     measures = ["dso", "dpo", "inventory_turns"]
     kpis = _working_capital(tables, flt).agg(*[F.avg(m).alias(f"avg_{m}") for m in measures])
+
+    def label(pattern: str, column: str, places: int) -> Column:
+        return F.format_string(pattern, F.bround(F.col(column).cast("double"), places))
+
     return kpis.select(
         "*",
-        F.format_string("%.0f days", F.bround("avg_dso", 0)).alias("avg_dso_label"),
-        F.format_string("%.0f days", F.bround("avg_dpo", 0)).alias("avg_dpo_label"),
-        F.format_string("%.1fx", F.bround("avg_inventory_turns", 1)).alias("avg_turns_label"),
+        label("%.0f days", "avg_dso", 0).alias("avg_dso_label"),
+        label("%.0f days", "avg_dpo", 0).alias("avg_dpo_label"),
+        label("%.1fx", "avg_inventory_turns", 1).alias("avg_turns_label"),
     )
 
 

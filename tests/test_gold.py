@@ -222,7 +222,7 @@ def test_plants_skip_zero_standard_cost(make):
         "standard_cost decimal(18,2), scrap_rate double, units_produced int",
     ).withColumns({c: F.col(c).cast("decimal(8,4)") for c in ("utilization_pct", "scrap_rate")})
     row = gold.gold_plant_performance(production, centers, time).first()
-    assert row.cost_variance_pct == pytest.approx(10) and row.utilization_pct == pytest.approx(0.7)
+    assert row.cost_variance_pct == pytest.approx(10) and float(row.utilization_pct) == 0.7
     assert row.total_units == 12
 
 
