@@ -31,6 +31,15 @@ from tallyforge.sources.testdata import SampleTables, bronze_rows
 from tallyforge.sources.warehouse import table_inventory
 from tallyforge.streaming.ingest import ingest, read_bronze
 
+try:
+    import corpus_pipeline
+    from tallyforge.llm.queries import ORACLE_SQL, QUERIES
+except ImportError:  # the library also works without its training-data part
+    TEXT_QUERIES, TEXT_SQL = {}, {}
+else:
+    TEXT_QUERIES = QUERIES | {"pipeline": corpus_pipeline.run}
+    TEXT_SQL = ORACLE_SQL | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Report selections: every unit and region of the data, one fiscal year.
@@ -410,10 +419,10 @@ def queries() -> dict[str, Query]:
         "forecast_intervals": forecast_intervals,
         "ml_revenue_forecast": _scored,
     }
-    return out
+    return out | TEXT_QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
     from oracle.catalog import statements
 
-    return statements()
+    return statements() | TEXT_SQL
