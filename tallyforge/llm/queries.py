@@ -89,32 +89,33 @@ FROM placed JOIN owner USING (slot)"""
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"""
 
+
 ORACLE_SQL: dict[str, str] = {
     "op2_table_sharding": _sharding_sql(),
     "op8_size_aware_jaccard": f"""
 WITH RECURSIVE split AS (SELECT doc_id, {_WORDS} AS w FROM documents),
-sets AS (
-  SELECT doc_id, CASE
-    WHEN len(w) = 0 THEN []
-    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END AS s
-  FROM split
+tokens AS (SELECT doc_id, len(w) AS n, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM split),
+runs AS (
+  SELECT doc_id, n, pos, concat_ws(' ', word, lead(word, 1) OVER o, lead(word, 2) OVER o, lead(word, 3) OVER o,
+    lead(word, 4) OVER o) AS h
+  FROM tokens WINDOW o AS (PARTITION BY doc_id ORDER BY pos)
 ),
-hashes AS (SELECT doc_id, unnest(s) AS h FROM sets),
+hashes AS (SELECT DISTINCT doc_id, h FROM runs WHERE pos <= n - 4 OR (n < 5 AND pos = 1)),
+sets AS (SELECT doc_id, count(h) AS size FROM documents LEFT JOIN hashes USING (doc_id) GROUP BY doc_id),
 counted AS (
   SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
   FROM hashes a JOIN hashes b ON a.h = b.h AND a.doc_id <> b.doc_id GROUP BY ALL
 ),
 links AS (
   SELECT a, b FROM counted JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b
-  WHERE 100 * shared >= 75 * (len(x.s) + len(y.s) - shared)
+  WHERE 100 * shared >= 75 * (x.size + y.size - shared)
 ),
 reach AS (
   SELECT doc_id AS a, doc_id AS b FROM documents
   UNION
   SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
 )
-SELECT doc_id, len(s) AS n_shingles, component_id
+SELECT doc_id, size AS n_shingles, component_id
 FROM sets JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)""",
     "op10_digest_index": """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
