@@ -12,8 +12,9 @@ classes take different ways, both exact:
 The boundary is the one with the least estimated cost, from the sizes of the small classes and the mean list length.
 
 Lists are scanned in two rounds, so that a group of near copies costs its size and not its square: each member is first
-compared with the pivot of its list (the member with the smallest share of rare shingles), then only members that are in
-different components yet. Sets travel only for classes that share a list. Long lists are salted.
+compared with the pivot of its list (the member that shares most of its listed shingles), then only members that are in
+different components yet, where the number of shared lists allows the overlap that a link needs. Before two sets are compared, sketches (how many shingles fall into each range of codes, a
+range for every few shingles) bound their overlap from above; whole sets are sent only for pairs within the bound. Long lists are salted.
 
 Shingles and sets are compared by 64-bit codes. Links, classes and components stay in tables; the driver gets the
 frequent shingles (at most ``FREQUENT``; they only set the order) and the counts of sizes up to ``LIGHT_MOST``.
@@ -27,7 +28,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm.components import connected_components
@@ -35,7 +36,8 @@ from tallyforge.llm.corpus import mix, shingle_sets, stored, text_pieces, window
 
 WIDTH = 5
 PERCENT = 75
-# Most shingles that are known as frequent, and how often a task must meet one within CHUNK shingles to report it.
+# Most shingles that are known as frequent, and how often a task must meet one within CHUNK shingles to report it
+# (in proportion, at least twice, within fewer).
 FREQUENT = 1 << 17
 REPORTED, CHUNK = 8, 1 << 21
 # Sets above this size are never light.
@@ -43,7 +45,7 @@ LIGHT_MOST = 12
 # Posting rows for each bucket; salts of a frequent shingle's list; posting rows that a task gathers before it sends.
 BUCKET_ROWS, SALTS, SENT_ROWS = 1 << 17, 32, 1 << 19
 
-POSTING = np.dtype([("h", "<u8"), ("node", "<u8"), ("n", "<i4"), ("rare", "<i4")])
+POSTING = np.dtype([("h", "<u8"), ("node", "<u8"), ("n", "<i4")])
 
 
 def needed(a: int, b: int, percent: int) -> int:
@@ -79,6 +81,22 @@ def set_code(shingles: np.ndarray) -> int:
     return int(mix(np.add.reduce(mix(shingles)) + np.array([len(shingles)], dtype=np.uint64))[0])
 
 
+def sketch(shingles: np.ndarray) -> bytes:
+    """Number of shingles in each of 2 ** k equal ranges, cut at 255; at least 256, and more than n / 8 ranges."""
+    bits = max(8, len(shingles).bit_length() - 3)
+    counts = np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def most_overlap(left: bytes, right: bytes) -> int | None:
+    """Upper bound of the overlap of two sets from their sketches; None where counts were cut."""
+    a, b = (np.frombuffer(x, dtype=np.uint8).astype(np.int64) for x in (left, right))
+    if a.max() == 255 or b.max() == 255:
+        return None
+    ranges = min(len(a), len(b))
+    return int(np.minimum(a.reshape(ranges, -1).sum(1), b.reshape(ranges, -1).sum(1)).sum())
+
+
 def _signed(values: Iterable[int] | np.ndarray) -> pa.Array:
     return pa.array(np.asarray(values, dtype=np.uint64).view(np.int64))
 
@@ -97,7 +115,7 @@ def _describe(width: int):
             nonlocal count
             if held:
                 found, times = np.unique(np.concatenate(held), return_counts=True)
-                often = times >= REPORTED
+                often = times >= max(2, REPORTED * count // CHUNK)
                 keys, ns = [*found[often], len(found)], [*times[often], count]
                 kinds = [*[1] * int(often.sum()), 2]
                 yield _table(kinds, [None] * len(kinds), np.array(keys, dtype=np.uint64), ns)
@@ -109,17 +127,19 @@ def _describe(width: int):
                 sets = shingle_sets(piece, width)
                 ids = batch.column(0).slice(piece.first, piece.last - piece.first)
                 codes = np.array([set_code(s) if len(s) else 0 for s in sets], dtype=np.uint64)
-                yield _table([0] * len(sets), ids, codes, [len(s) for s in sets])
+                yield _table([0] * len(sets), ids, codes, [len(s) for s in sets], list(map(sketch, sets)))
                 held.extend(sets)
                 count += sum(map(len, sets))
                 if count >= CHUNK:
                     yield from report()
         yield from report()
 
-    def _table(kinds, ids, keys, ns) -> pa.RecordBatch:
+    def _table(kinds, ids, keys, ns, sketches=None) -> pa.RecordBatch:
         ids = ids if isinstance(ids, pa.Array) else pa.array(ids, pa.int64())
+        sketches = pa.array(sketches or [None] * len(kinds), pa.binary())
         return pa.RecordBatch.from_arrays(
-            [pa.array(kinds, pa.int32()), ids, _signed(keys), pa.array(ns, pa.int64())], ["kind", "doc_id", "key", "n"]
+            [pa.array(kinds, pa.int32()), ids, _signed(keys), pa.array(ns, pa.int64()), sketches],
+            ["kind", "doc_id", "key", "n", "sketch"],
         )
 
     return run
@@ -147,9 +167,9 @@ def _post(width: int, percent: int, boundary: int, buckets: int, frequent: np.nd
         held: list[np.ndarray] = []
         count = 0
 
-        def rows(h: np.ndarray, node, n: int, rare: int) -> np.ndarray:
+        def rows(h: np.ndarray, node, n: int) -> np.ndarray:
             out = np.empty(len(h), dtype=POSTING)
-            out["h"], out["node"], out["n"], out["rare"] = h, node, n, rare
+            out["h"], out["node"], out["n"] = h, node, n
             return out
 
         def send() -> Iterator[pa.RecordBatch]:
@@ -189,11 +209,10 @@ def _post(width: int, percent: int, boundary: int, buckets: int, frequent: np.nd
                         at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
                         times = np.where(frequent[at] == s, rank[at], 0)
                     first = np.argsort(times, kind="stable")[: prefix_length(n, percent)]
-                    rare = int(1000 * np.count_nonzero(times == 0) // n)
-                    held.append(rows(s[first], code, n, rare))
+                    held.append(rows(s[first], code, n))
                     count += len(first)
                 for keys, nodes, n in _light_postings(small, boundary, percent):
-                    held.append(rows(keys, nodes, n, 1000))
+                    held.append(rows(keys, nodes, n))
                     count += len(keys)
                 if count >= SENT_ROWS:
                     yield from send()
@@ -211,10 +230,7 @@ def _lists(buckets: int):
         if group.column("bucket")[0].as_py() < buckets:
             _, inverse, times = np.unique(block["h"], return_inverse=True, return_counts=True)
             block = block[times[inverse] > 1]
-        return pa.table(
-            [_signed(block["h"]), _signed(block["node"]), pa.array(block["n"]), pa.array(block["rare"])],
-            names=["h", "node", "n", "rare"],
-        )
+        return pa.table([_signed(block["h"]), _signed(block["node"]), pa.array(block["n"])], names=["h", "node", "n"])
 
     return run
 
@@ -232,6 +248,20 @@ def _packed(width: int):
     return run
 
 
+def _may_link(percent: int):
+    """Pairs whose sketches allow the overlap that a link needs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for left, right, n, m in zip(*(batch.column(c).to_pylist() for c in ("left", "right", "n", "m")), strict=True):
+                most = most_overlap(left, right)
+                keep.append(most is None or most >= needed(n, m, percent))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
 def _linked(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -250,15 +280,39 @@ def _compatible(a: str, b: str, percent: int):
     return F.lit(100) * low >= F.lit(percent) * high
 
 
+def _prefix_column(n: str, percent: int) -> Column:
+    return F.col(n) - F.ceil(F.lit(percent) * F.col(n) / 100) + 1
+
+
+def _enough_lists(percent: int, boundary: int) -> Column:
+    """Whether a pair can link by the number of lists that it shares.
+
+    A common shingle that is not in both prefixes lies behind the prefix of the set whose prefix ends first, so the
+    overlap is at most the shared lists plus the longer rest. Keys of light sets say nothing of that kind.
+    """
+    rest = F.col("high") - _prefix_column("high", percent)
+    least = F.ceil(F.lit(percent) * (F.col("low") + F.col("high")) / (100 + percent))
+    return (F.col("high") <= boundary) | (F.col("lists") + rest >= least)
+
+
 def _pairs(joined: DataFrame) -> DataFrame:
     return joined.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _verify(pairs: DataFrame, sketches: DataFrame, rows: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs that link. ``sketches``: node, smallest id, n, sketch of the classes; ``rows``: all documents."""
+    left = sketches.select(F.col("node").alias("a"), "n", F.col("sketch").alias("left"))
+    right = sketches.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("right"))
+    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "n", "m", "left", "right")
+    near = stored(joined.mapInArrow(_may_link(percent), "a long, b long"), "jaccard-near")
+    nodes = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
+    members = stored(nodes.join(sketches, "node").select(F.col("smallest").alias("doc_id")), "jaccard-members")
+    texts = rows.join(members, "doc_id", "left_semi").select("text")
+    sets = stored(texts.mapInArrow(_packed(width), "node long, shingles binary"), "jaccard-sets")
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-    return joined.mapInArrow(_linked(percent), "a long, b long")
+    joined = near.join(left, "a").join(right, "b").select("a", "b", "left", "right")
+    return stored(joined.mapInArrow(_linked(percent), "a long, b long"), "jaccard-links")
 
 
 def jaccard_components(
@@ -272,14 +326,14 @@ def jaccard_components(
     """
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     described = stored(
-        rows.mapInArrow(_describe(width), "kind int, doc_id long, key long, n long"), "jaccard-described"
+        rows.mapInArrow(_describe(width), "kind int, doc_id long, key long, n long, sketch binary"), "jaccard-described"
     )
     every = described.where("kind = 0").select("doc_id", F.col("key").alias("node"), "n")
     named = every.where("doc_id IS NOT NULL AND n > 0")
     classes = named.groupBy("node").agg(F.min("doc_id").alias("smallest"), F.min("n").alias("n"))
 
     often = described.where("kind = 1").groupBy("key").agg(F.sum("n").alias("times"))
-    top = often.orderBy(F.desc("times"), "key").limit(FREQUENT).toPandas()
+    top = often.orderBy(F.desc("times"), "key").limit(FREQUENT).toArrow().to_pandas()
     keys = top["key"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)
     totals = described.agg(
@@ -296,17 +350,19 @@ def jaccard_components(
     texts = rows.where("doc_id IS NOT NULL").select("text")
     post = _post(width, percent, boundary, buckets, keys[order], top["times"].to_numpy(np.int64)[order])
     posted = texts.mapInArrow(post, "bucket long, postings binary").groupBy("bucket")
-    lists = stored(posted.applyInArrow(_lists(buckets), "h long, node long, n int, rare int"), "jaccard-lists")
+    lists = stored(posted.applyInArrow(_lists(buckets), "h long, node long, n int"), "jaccard-lists")
 
-    members = lists.select("node").distinct().join(classes, "node").select(F.col("smallest").alias("doc_id"))
-    wanted = rows.join(stored(members, "jaccard-members"), "doc_id", "left_semi").select("text")
-    sets = stored(wanted.mapInArrow(_packed(width), "node long, shingles binary"), "jaccard-sets")
+    listed = lists.select("node").distinct().join(classes, "node").drop("n")
+    own = described.where("kind = 0").select(F.col("doc_id").alias("smallest"), F.col("key").alias("node"), "n", "sketch")
+    sketches = stored(own.join(listed, ["smallest", "node"]), "jaccard-sketches")
 
-    pivots = lists.groupBy("h").agg(F.min(F.struct("rare", "node", "n")).alias("p"))
+    # Share of a class's listed shingles that others list too.
+    shared = lists.groupBy("node").agg((F.count("*") / F.max(_prefix_column("n", percent))).alias("shared"))
+    pivots = lists.join(shared, "node").groupBy("h").agg(F.max(F.struct("shared", "node", "n")).alias("p"))
     pivots = pivots.select("h", F.col("p.node").alias("other"), F.col("p.n").alias("m"))
     starred = lists.join(pivots, "h").where(F.col("node") != F.col("other")).where(_compatible("n", "m", percent))
     first = stored(_pairs(starred), "jaccard-pairs")
-    links = stored(_verify(first, sets, percent), "jaccard-links")
+    links = _verify(first, sketches, rows, width, percent)
     joined = connected_components(links, "a", "b")
 
     # Members that are apart yet: those outside the largest component of their list, against all others of the list.
@@ -316,11 +372,19 @@ def jaccard_components(
     main = parts.groupBy("h").agg(F.max(F.struct("c", "root")).alias("main"), F.count("*").alias("parts"))
     open_lists = main.where("parts > 1").select("h", F.col("main.root").alias("main"))
     minor = rooted.join(open_lists, "h").where(F.col("root") != F.col("main"))
-    minor = minor.select("h", "node", "n", "root")
+    minor = minor.select("h", "node", "n", "root", "main")
     others = rooted.select("h", F.col("node").alias("other"), F.col("n").alias("m"), F.col("root").alias("its_root"))
     apart = minor.join(others, "h").where(F.col("root") != F.col("its_root")).where(_compatible("n", "m", percent))
-    second = stored(_pairs(apart).join(first, ["a", "b"], "left_anti"), "jaccard-pairs")
-    more = stored(_verify(second, sets, percent), "jaccard-links")
+    # Each pair once for each list: from the minor member, or from the smaller one of two minor members.
+    apart = apart.where((F.col("its_root") == F.col("main")) | (F.col("node") < F.col("other")))
+    counted = apart.groupBy(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).agg(
+        F.count("*").alias("lists"), F.max(F.least("n", "m")).alias("low"), F.max(F.greatest("n", "m")).alias("high")
+    )
+    second = stored(
+        counted.where(_enough_lists(percent, boundary)).select("a", "b").join(first, ["a", "b"], "left_anti"),
+        "jaccard-pairs",
+    )
+    more = _verify(second, sketches, rows, width, percent)
     ties = joined.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)
     final = connected_components(ties, "a", "b")
 
