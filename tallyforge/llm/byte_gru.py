@@ -190,7 +190,7 @@ def train(docs: DataFrame) -> ByteGru | None:
     # At most SAMPLE_TEXTS ids for each language.
     ids = ids.where(F.col("r") <= SAMPLE_TEXTS).select("doc_id").distinct()
     sample = labelled.join(F.broadcast(ids), "doc_id", "left_semi").select("text", "lang")
-    rows = sample.mapInArrow(_sample_windows, "lang string, window binary").toPandas()
+    rows = sample.mapInArrow(_sample_windows, "lang string, window binary").toArrow().to_pandas()
     if not len(rows):
         return None
     rows = rows.assign(window=rows["window"].map(bytes)).sort_values(["lang", "window"], kind="stable")

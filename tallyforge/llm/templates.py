@@ -139,7 +139,7 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.col("id").alias("item_id"), F.col("position").alias("item_position"), "key", F.col("slots").alias("item_slots")
     )
     # At most FILTER_BITS numbers.
-    bits = asked.select((F.pmod(F.col("key"), F.lit(FILTER_BITS))).cast("int").alias("b")).distinct().toPandas()["b"]
+    bits = asked.select((F.pmod(F.col("key"), F.lit(FILTER_BITS))).cast("int").alias("b")).distinct().toArrow().to_pandas()["b"]
     keep = np.zeros(FILTER_BITS, dtype=bool)
     keep[bits.to_numpy(np.int64)] = True
     totals = asked.groupBy("item_id").agg(F.countDistinct("item_position").alias("windows"))

@@ -284,7 +284,7 @@ def train(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
                 )
 
     names = [f"x{k}" for k in range(FEATURES)]
-    rows = sample.mapInArrow(run, ", ".join(f"{n} double" for n in names) + ", toxic int").toPandas()
+    rows = sample.mapInArrow(run, ", ".join(f"{n} double" for n in names) + ", toxic int").toArrow().to_pandas()
     if not len(rows):
         return ToxicityModel({}, np.array([0.0] * FEATURES + [-math.log(99)]))
     rows = rows.sort_values([*names, "toxic"])
