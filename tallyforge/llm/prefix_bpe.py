@@ -14,6 +14,7 @@ import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from hashlib import sha256
 from itertools import chain
 
 import public_tokenizers
@@ -26,7 +27,7 @@ from pyspark.sql import types as T
 from tallyforge.llm.corpus import PIECE_BYTES
 
 TOKENIZER = "byte_bpe_50k.json"
-MOST_NODES, MOST_SEGMENTS, MOST_PAIRS = 800_000, 500_000, 500_000
+MOST_NODES, MOST_SEGMENTS, MOST_PAIRS = 400_000, 250_000, 300_000
 # Words above this many bytes are walked without being kept in the trie.
 LONGEST_KEPT = 48
 
@@ -55,6 +56,7 @@ class PrefixBpe:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.bytes_of = {number: token for token, number in self.ids.items()}
         self.bytes_of |= {number: text.encode() for text, number in self.special.items()}
+        self.decimal = {number: str(number) for number in self.bytes_of}
         self.split = regex.compile(public_tokenizers.PATTERN)
         self.cut_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         # Longest token for each ending of three bytes.
@@ -95,9 +97,16 @@ class PrefixBpe:
 
     def _state(self, word: bytes, end: int, last: list[int], nodes) -> tuple[int, int]:
         """Last token of ``word[:end]`` and its length; ``nodes`` are the places of the prefixes in ``last``."""
+        ids = self.ids
+        # Most often the token before grows by a byte.
+        before = last[nodes[end - 1]]
+        guess = len(self.bytes_of[before]) + 1 if before >= 0 else 1
+        token = ids.get(word[end - guess : end])
+        if token is not None and self._may_follow(last[nodes[end - guess]], token):
+            return token, guess
         most = self.reach.get(word[end - 3 : end], 3) if end >= 3 else end
         for size in range(min(end, most), 0, -1):
-            token = self.ids.get(word[end - size : end])
+            token = ids.get(word[end - size : end])
             if token is not None and self._may_follow(last[nodes[end - size]], token):
                 return token, size
         raise ValueError("the vocabulary has no token for a byte")
@@ -185,12 +194,13 @@ def codec(tokenizer: str) -> PrefixBpe:
     return PrefixBpe(tokenizer if "/" in tokenizer else public_tokenizers.path(tokenizer))
 
 
-def _groups(texts: list[str]) -> Iterator[list[str]]:
+def _groups(texts: pa.Array) -> Iterator[list[str]]:
+    """The texts in groups of about a piece's size; null counts as empty."""
     group, size = [], 0
     for text in texts:
-        group.append(text)
-        size += len(text)
-        if size >= PIECE_BYTES // 4:
+        group.append(text.as_py() or "")
+        size += len(group[-1])
+        if size >= PIECE_BYTES // 8:
             yield group
             group, size = [], 0
     if group:
@@ -227,7 +237,7 @@ def encode(
     """
 
     def change(texts: pa.Array) -> Iterator[pa.Array]:
-        for group in _groups(["" if t is None else t for t in texts.to_pylist()]):
+        for group in _groups(texts):
             yield pa.array(codec(tokenizer).encode_batch(group), pa.list_(pa.int32()))
 
     return _map_column(df, text_column, ids_column, T.ArrayType(T.IntegerType()), change)
@@ -249,13 +259,29 @@ def decode(
     return _map_column(df, ids_column, text_column, T.StringType(), change)
 
 
+def _digest(batches: Iterator[pa.RecordBatch], tokenizer: str) -> Iterator[pa.RecordBatch]:
+    own = codec(tokenizer)
+    for batch in batches:
+        start = 0
+        for group in _groups(batch.column(1)):
+            counts, of_ids, of_texts = [], [], []
+            for ids in own.encode_batch(group):
+                counts.append(len(ids))
+                of_ids.append(sha256(",".join(map(own.decimal.__getitem__, ids)).encode()).hexdigest())
+                of_texts.append(sha256(own.decode(ids).encode()).hexdigest())
+            columns = [pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_texts, pa.string())]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(group)), *columns], DIGEST_NAMES)
+            start += len(group)
+
+
+DIGEST_NAMES = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
 def encoded_digests(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
-    """doc_id, n_tokens, and SHA-256 of the comma-joined ids and of the text decoded from them."""
-    rows = encode(docs.select("doc_id", "text"), tokenizer=tokenizer).drop("text")
-    both = decode(rows, tokenizer=tokenizer)
-    return both.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
-    )
+    """doc_id, n_tokens, and SHA-256 of the comma-joined ids and of the text decoded from them.
+
+    The same as ``encode`` followed by ``decode``, in one pass that sends no ids.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return rows.mapInArrow(lambda batches: _digest(batches, tokenizer), schema)
