@@ -42,11 +42,9 @@ else:
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Report selections: every unit and region of the data, one fiscal year.
-UNITS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
-REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+# Report selections: all units and regions, one fiscal year.
 YEAR = 2000
-SELECTION = ReportFilter(UNITS, REGIONS, YEAR, "Actual")
+SELECTION = ReportFilter(fiscal_year=YEAR, scenario="Actual")
 
 # A customer and brand pair has too few months here for a 12-month lag.
 SERIES = ("business_unit", "region", "product_family")

@@ -12,11 +12,18 @@ from tallyforge.operators.quality import (
     keep_valid,
     observe_expectations,
 )
-from tallyforge.sources.feeds import INGESTED_AT, SOURCE_FILE, Feed
+from tallyforge.sources.feeds import INGESTED_AT, RESCUED, SOURCE_FILE, Feed
+
+RESCUED_LINES = "rescued_lines"
 
 
 def latest_deliveries(bronze: DataFrame, feed: Feed) -> DataFrame:
-    """Newest delivery of every key, still in raw text form."""
+    """Newest delivery of every key, still in raw text form.
+
+    A line with the wrong number of cells stays in bronze: it must not replace a whole record.
+    """
+    if RESCUED in bronze.columns:
+        bronze = bronze.where(F.col(RESCUED).isNull())
     names = [c for c, _ in feed.columns]
     ordering = [c for c in (INGESTED_AT, SOURCE_FILE) if c in bronze.columns]
     # Columns that the feed does not declare are left behind here.

@@ -8,10 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.operators.silver import to_silver_observed
+from tallyforge.operators.silver import RESCUED_LINES, to_silver_observed
 from tallyforge.plans import forecast as fc
 from tallyforge.plans import gold
-from tallyforge.sources.feeds import FEEDS
+from tallyforge.sources.feeds import FEEDS, RESCUED
 from tallyforge.sources.warehouse import Warehouse
 from tallyforge.streaming.ingest import ingest_feed
 
@@ -112,6 +112,8 @@ def build_silver(
         clean, casts, rules = to_silver_observed(bronze[name], feed)
         warehouse.write(feed.silver_table, clean, "silver", f"Cleaned {name} rows")
         counts[feed.silver_table] = {**casts.get, **rules.get}
+        if RESCUED in bronze[name].columns:
+            counts[feed.silver_table][RESCUED_LINES] = bronze[name].where(F.col(RESCUED).isNotNull()).count()
     entries = [
         (table, rule, found["rows"], failed)
         for table, found in counts.items()

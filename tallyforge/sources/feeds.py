@@ -54,7 +54,7 @@ _ALL = [
     _feed(
         "entity_master",
         "dim_entity",
-        "entity_master.csv",
+        "entity_master*.csv",
         "valid_entity_id",
         "entity_id string, entity_name string, parent_entity_id string, region string, "
         "country string, business_unit string, is_consolidated boolean, "
@@ -64,7 +64,7 @@ _ALL = [
     _feed(
         "account_master",
         "dim_account",
-        "account_master.csv",
+        "account_master*.csv",
         "valid_account_id",
         "account_id string, account_name string, account_type string, "
         "account_group string, parent_account_id string, sign_convention string, "
@@ -73,14 +73,14 @@ _ALL = [
     _feed(
         "scenario_master",
         "dim_scenario",
-        "scenario_master.csv",
+        "scenario_master*.csv",
         "valid_scenario_id",
         "scenario_id string, scenario_name string, scenario_year int, is_locked boolean",
     ),
     _feed(
         "time_master",
         "dim_time",
-        "time_master.csv",
+        "time_master*.csv",
         "valid_time_id",
         "time_id int, calendar_date date, fiscal_year int, fiscal_quarter string, "
         "fiscal_month int, fiscal_week int, is_month_end boolean, is_quarter_end boolean",
@@ -88,7 +88,7 @@ _ALL = [
     _feed(
         "product_master",
         "dim_product",
-        "product_master.csv",
+        "product_master*.csv",
         "valid_product_id",
         "product_id string, product_family string, product_line string, "
         "end_market string, is_aftermarket boolean",
@@ -96,7 +96,7 @@ _ALL = [
     _feed(
         "customer_master",
         "dim_customer",
-        "customer_master.csv",
+        "customer_master*.csv",
         "valid_customer_id",
         "customer_id string, customer_name string, customer_segment string, "
         "region string, country string, industry_vertical string",
@@ -104,14 +104,14 @@ _ALL = [
     _feed(
         "currency_master",
         "dim_currency",
-        "currency_master.csv",
+        "currency_master*.csv",
         "valid_currency",
         "currency_code string, currency_name string",
     ),
     _feed(
         "cost_center_master",
         "dim_cost_center",
-        "cost_center_master.csv",
+        "cost_center_master*.csv",
         "valid_cc_id",
         "cost_center_id string, cost_center_name string, plant_id string, "
         "plant_name string, plant_country string",

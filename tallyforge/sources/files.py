@@ -5,8 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-# Quotes inside a field are doubled, so any text survives the round trip.
-CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "false"}
+# Quotes inside a field are doubled and blanks kept. An empty field is NULL: empty text does not survive.
+CSV_OPTIONS = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "multiLine": "false",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -15,5 +22,9 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Declared columns; a header that differs from them is an error."""
-    return spark.read.schema(schema).options(**CSV_OPTIONS, enforceSchema="false").csv(path)
+    """Declared columns; a header that differs from them is an error.
+
+    Line breaks within quotes are read, so a file is not split; ``write_csv`` makes one for each task.
+    """
+    options = CSV_OPTIONS | {"multiLine": "true", "enforceSchema": "false"}
+    return spark.read.schema(schema).options(**options).csv(path)

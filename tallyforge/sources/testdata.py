@@ -32,7 +32,6 @@ from tallyforge.plans.medallion import GOLD_TABLES, TableSpec
 from tallyforge.sources.feeds import INGESTED_AT, SOURCE_FILE, Feed
 
 # Fixed values of the mapping below.
-CALENDAR_START, CALENDAR_END = date(1990, 1, 1), date(2010, 12, 31)
 ACCOUNTS = {
     "RO": ("Revenue", "REV_PROD"),
     "AO": ("COGS", "COGS_MAT"),
@@ -117,6 +116,7 @@ class SampleTables(Mapping):
         self.folder = folder
         # Frames by name: opening a parquet folder lists files and reads a footer.
         self._frames: dict[str, DataFrame] = {}
+        self._calendar: tuple[date, date] | None = None
         self._builders: dict[str, Callable[[], DataFrame]] = {
             "silver_dim_entity": self.dim_entity,
             "silver_dim_account": self.dim_account,
@@ -191,7 +191,14 @@ class SampleTables(Mapping):
         return _small_table(self.spark, list(SCENARIOS.items()), "scenario_id, scenario_name")
 
     def dim_time(self) -> DataFrame:
-        return calendar_dim(self.spark, CALENDAR_START, CALENDAR_END)
+        """Every day of the years that the facts' dates touch."""
+        if self._calendar is None:
+            days = self.raw("lineitem").agg(F.min(_day("l_shipdate")).alias("lo"), F.max(_day("l_shipdate")).alias("hi"))
+            placed = self.raw("orders").agg(F.min(_day("o_orderdate")), F.max(_day("o_orderdate")))
+            lo, hi = days.union(placed).agg(F.min("lo"), F.max("hi")).first()
+            lo, hi = lo or date(2000, 1, 1), hi or date(2000, 12, 31)
+            self._calendar = date(lo.year, 1, 1), date(hi.year, 12, 31)
+        return calendar_dim(self.spark, *self._calendar)
 
     def dim_product(self) -> DataFrame:
         return self.raw("part").select(

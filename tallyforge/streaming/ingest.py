@@ -17,19 +17,22 @@ MAX_FILES = 10_000
 def landed_stream(
     spark: SparkSession, path: str, schema: T.StructType, max_files: int = MAX_FILES
 ) -> DataFrame:
-    """Stream of rows from files that match ``path``, with ingest metadata.
+    """Stream of rows from the files of ``path`` (folder/pattern), with ingest metadata.
 
-    A file whose header differs from ``schema`` stops the run. A line with the
+    Every file counts, however old, but each name once: a delivery with new content needs a new name. A file whose header differs from ``schema`` stops the run. A line with the
     wrong number of cells is kept, with its full text in the rescue column.
     """
+    folder, pattern = path.rsplit("/", 1)
     full = T.StructType([*schema.fields, T.StructField(RESCUED, T.StringType())])
     reader = spark.readStream.schema(full).options(
         **CSV_OPTIONS,
         enforceSchema="false",
         columnNameOfCorruptRecord=RESCUED,
         maxFilesPerTrigger=max_files,
+        maxFileAge="36500d",
+        pathGlobFilter=pattern,
     )
-    return reader.csv(path).select(
+    return reader.csv(folder).select(
         *full.fieldNames(),
         F.current_timestamp().alias(INGESTED_AT),
         F.col("_metadata.file_path").alias(SOURCE_FILE),

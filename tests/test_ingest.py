@@ -1,6 +1,9 @@
 import uuid
 from pathlib import Path
 
+import os
+import time
+
 import pytest
 from pyspark.errors import StreamingQueryException
 
@@ -85,7 +88,30 @@ def test_ragged_lines_are_kept_with_their_text(spark, root):
     assert rows["FX2"]._rescued_data.endswith(",extra") and rows["FX2"].avg_rate == "1.0"
     assert rows["FX3"]._rescued_data == "FX3,EUR" and rows["FX3"].spot_rate is None
     clean = to_silver(run(spark, root), FX)
-    assert clean.count() == 3 and "_rescued_data" not in clean.columns
+    assert [r.rate_id for r in clean.collect()] == ["FX1"] and "_rescued_data" not in clean.columns
+
+
+def test_ragged_line_does_not_replace_a_record(spark, root):
+    land(root, "fx_rates_1.csv", [rate(1, 1.1)])
+    run(spark, root)
+    land(root, "fx_rates_2.csv", ["FX1,EUR"])
+    assert float(to_silver(run(spark, root), FX).first().spot_rate) == 1.1
+
+
+def test_old_file_is_not_skipped(spark, root):
+    land(root, "fx_rates_1.csv", [rate(1, 1.1)])
+    run(spark, root)
+    land(root, "fx_rates_0.csv", [rate(2, 1.2)])
+    month_ago = time.time() - 30 * 86400
+    os.utime(next(root.rglob("fx_rates_0.csv")), (month_ago, month_ago))
+    assert to_silver(run(spark, root), FX).count() == 2
+
+
+def test_csv_round_trip_keeps_blanks_and_line_breaks(spark, root, make):
+    rows = [(" x ", "a\nb"), ("\ty", 'q"\n"')]
+    write_csv(make(rows, "currency_code string, currency_name string"), str(root / "out"))
+    back = read_csv(spark, str(root / "out"), FEED.raw_schema)
+    assert sorted(map(tuple, back.collect())) == sorted(rows)
 
 
 def test_csv_round_trip_keeps_awkward_text(spark, root, make):

@@ -1,5 +1,6 @@
 import uuid
 from pathlib import Path
+from shutil import copyfile
 
 from tallyforge.plans import forecast as fc
 from tallyforge.plans.medallion import GOLD_TABLES, build_bronze, build_silver, run_all
@@ -16,8 +17,11 @@ def test_landing_to_forecast(spark):
     root = Path(f"/tmp/tallyforge-run-{uuid.uuid4().hex}")
     samples = SampleTables(spark, SMALL)
     for name, feed in FEEDS.items():
-        folder = root / "landing" / feed.glob.replace("*", "all")
-        write_csv(bronze_rows(samples, feed).select(*[c for c, _ in feed.columns]), str(folder))
+        rows = bronze_rows(samples, feed).select(*[c for c, _ in feed.columns])
+        write_csv(rows.coalesce(1), str(root / "made" / name))
+        (root / "landing").mkdir(exist_ok=True)
+        part = next((root / "made" / name).glob("part-*.csv"))
+        copyfile(part, root / "landing" / feed.glob.replace("*", "_2024"))
     house = Warehouse(spark, f"plan_{uuid.uuid4().hex[:8]}")
     places = (spark, str(root / "landing"), str(root / "bronze"))
     params = fc.TreeParams(trees=3, depth=3, min_rows_per_leaf=1)
