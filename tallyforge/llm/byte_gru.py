@@ -5,8 +5,8 @@ byte position a probability for each language, from the bytes before and behind
 the one with the largest sum of log probabilities over all positions of windows with letters. Since a window's result
 depends on its bytes only, equal windows are computed once and remembered by the task, up to a bound.
 
-Training is numpy back-propagation through time on the driver, on a bounded sample: of each language at most
-``SAMPLE_TEXTS`` texts and of each of these at most ``SAMPLE_WINDOWS`` windows, spread over the whole text. The number of
+Training is numpy back-propagation through time on the driver, on a bounded sample: of each language about
+``SAMPLE_TEXTS`` texts (chosen by the hash of their id) and of each of these at most ``SAMPLE_WINDOWS`` windows, spread over the whole text. The number of
 languages is that of the label, which is taken to be small. Every text is predicted from all of its bytes.
 """
 
@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm.corpus import LOWER, Piece, byte_words, fold, text_pieces
@@ -185,11 +185,11 @@ def _sample_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def train(docs: DataFrame) -> ByteGru | None:
     """Network trained on a bounded sample of rows with text, lang and doc_id; None where there are none."""
     labelled = docs.where("text IS NOT NULL AND lang IS NOT NULL AND doc_id IS NOT NULL")
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = labelled.select("doc_id", "lang").withColumn("r", F.row_number().over(by_hash))
-    # At most SAMPLE_TEXTS ids for each language.
-    ids = ids.where(F.col("r") <= SAMPLE_TEXTS).select("doc_id").distinct()
-    sample = labelled.join(F.broadcast(ids), "doc_id", "left_semi").select("text", "lang")
+    # One row for each language; texts by the hash of their id, SAMPLE_TEXTS of each language on average.
+    counts = labelled.groupBy("lang").agg(F.count("*").alias("texts"))
+    share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)
+    chosen = labelled.join(F.broadcast(counts), "lang").where(share * F.col("texts") < SAMPLE_TEXTS)
+    sample = chosen.select("text", "lang")
     rows = sample.mapInArrow(_sample_windows, "lang string, window binary").toArrow().to_pandas()
     if not len(rows):
         return None
