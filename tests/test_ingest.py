@@ -1,8 +1,7 @@
-import uuid
-from pathlib import Path
-
 import os
 import time
+import uuid
+from pathlib import Path
 
 import pytest
 from pyspark.errors import StreamingQueryException
