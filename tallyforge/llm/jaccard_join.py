@@ -13,7 +13,7 @@ The boundary is the one with the least estimated cost, from the sizes of the sma
 
 Lists are scanned in two rounds, so that a group of near copies costs its size and not its square: each member is first
 compared with the pivot of its list (the member that shares most of its listed shingles), then only members that are in
-different components yet, where the number of shared lists allows the overlap that a link needs. Before two sets are compared, sketches (how many shingles fall into each range of codes, a
+different components yet, and only in lists that stand early enough in both sets for the overlap that they need. Before two sets are compared, sketches (how many shingles fall into each range of codes, a
 range for every few shingles) bound their overlap from above; whole sets are sent only for pairs within the bound. Long lists are salted.
 
 Shingles and sets are compared by 64-bit codes. Links, classes and components stay in tables; the driver gets the
@@ -45,7 +45,8 @@ LIGHT_MOST = 12
 # Posting rows for each bucket; salts of a frequent shingle's list; posting rows that a task gathers before it sends.
 BUCKET_ROWS, SALTS, SENT_ROWS = 1 << 17, 32, 1 << 19
 
-POSTING = np.dtype([("h", "<u8"), ("node", "<u8"), ("n", "<i4")])
+# List, class, its size, and the place of the shingle in the class's order (0 for subset keys).
+POSTING = np.dtype([("h", "<u8"), ("node", "<u8"), ("n", "<i4"), ("at", "<i4")])
 
 
 def needed(a: int, b: int, percent: int) -> int:
@@ -167,9 +168,9 @@ def _post(width: int, percent: int, boundary: int, buckets: int, frequent: np.nd
         held: list[np.ndarray] = []
         count = 0
 
-        def rows(h: np.ndarray, node, n: int) -> np.ndarray:
+        def rows(h: np.ndarray, node, n: int, at) -> np.ndarray:
             out = np.empty(len(h), dtype=POSTING)
-            out["h"], out["node"], out["n"] = h, node, n
+            out["h"], out["node"], out["n"], out["at"] = h, node, n, at
             return out
 
         def send() -> Iterator[pa.RecordBatch]:
@@ -209,10 +210,10 @@ def _post(width: int, percent: int, boundary: int, buckets: int, frequent: np.nd
                         at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
                         times = np.where(frequent[at] == s, rank[at], 0)
                     first = np.argsort(times, kind="stable")[: prefix_length(n, percent)]
-                    held.append(rows(s[first], code, n))
+                    held.append(rows(s[first], code, n, np.arange(len(first))))
                     count += len(first)
                 for keys, nodes, n in _light_postings(small, boundary, percent):
-                    held.append(rows(keys, nodes, n))
+                    held.append(rows(keys, nodes, n, 0))
                     count += len(keys)
                 if count >= SENT_ROWS:
                     yield from send()
@@ -230,7 +231,8 @@ def _lists(buckets: int):
         if group.column("bucket")[0].as_py() < buckets:
             _, inverse, times = np.unique(block["h"], return_inverse=True, return_counts=True)
             block = block[times[inverse] > 1]
-        return pa.table([_signed(block["h"]), _signed(block["node"]), pa.array(block["n"])], names=["h", "node", "n"])
+        plain = [pa.array(np.ascontiguousarray(block[c])) for c in ("n", "at")]
+        return pa.table([_signed(block["h"]), _signed(block["node"]), *plain], names=["h", "node", "n", "at"])
 
     return run
 
@@ -284,15 +286,14 @@ def _prefix_column(n: str, percent: int) -> Column:
     return F.col(n) - F.ceil(F.lit(percent) * F.col(n) / 100) + 1
 
 
-def _enough_lists(percent: int, boundary: int) -> Column:
-    """Whether a pair can link by the number of lists that it shares.
+def _early_in_both(percent: int) -> Column:
+    """Whether the list of a pair stands early enough in both sets for the overlap that a link needs.
 
-    A common shingle that is not in both prefixes lies behind the prefix of the set whose prefix ends first, so the
-    overlap is at most the shared lists plus the longer rest. Keys of light sets say nothing of that kind.
+    Behind the first common shingle at least ``needed - 1`` more follow in each set, so linked sets always have one
+    list that passes. Subset keys stand at 0 and always pass.
     """
-    rest = F.col("high") - _prefix_column("high", percent)
-    least = F.ceil(F.lit(percent) * (F.col("low") + F.col("high")) / (100 + percent))
-    return (F.col("high") <= boundary) | (F.col("lists") + rest >= least)
+    least = F.ceil(F.lit(percent) * (F.col("n") + F.col("m")) / (100 + percent))
+    return (F.col("at") <= F.col("n") - least) & (F.col("its_at") <= F.col("m") - least)
 
 
 def _pairs(joined: DataFrame) -> DataFrame:
@@ -350,7 +351,7 @@ def jaccard_components(
     texts = rows.where("doc_id IS NOT NULL").select("text")
     post = _post(width, percent, boundary, buckets, keys[order], top["times"].to_numpy(np.int64)[order])
     posted = texts.mapInArrow(post, "bucket long, postings binary").groupBy("bucket")
-    lists = stored(posted.applyInArrow(_lists(buckets), "h long, node long, n int"), "jaccard-lists")
+    lists = stored(posted.applyInArrow(_lists(buckets), "h long, node long, n int, at int"), "jaccard-lists")
 
     listed = lists.select("node").distinct().join(classes, "node").drop("n")
     own = described.where("kind = 0").select(F.col("doc_id").alias("smallest"), F.col("key").alias("node"), "n", "sketch")
@@ -367,23 +368,20 @@ def jaccard_components(
 
     # Members that are apart yet: those outside the largest component of their list, against all others of the list.
     rooted = lists.join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rooted = stored(rooted.select("h", "node", "n", "root"), "jaccard-rooted")
+    rooted = stored(rooted.select("h", "node", "n", "at", "root"), "jaccard-rooted")
     parts = rooted.groupBy("h", "root").agg(F.count("*").alias("c"))
     main = parts.groupBy("h").agg(F.max(F.struct("c", "root")).alias("main"), F.count("*").alias("parts"))
     open_lists = main.where("parts > 1").select("h", F.col("main.root").alias("main"))
     minor = rooted.join(open_lists, "h").where(F.col("root") != F.col("main"))
-    minor = minor.select("h", "node", "n", "root", "main")
-    others = rooted.select("h", F.col("node").alias("other"), F.col("n").alias("m"), F.col("root").alias("its_root"))
+    minor = minor.select("h", "node", "n", "at", "root", "main")
+    others = rooted.select(
+        "h", F.col("node").alias("other"), F.col("n").alias("m"), F.col("at").alias("its_at"), F.col("root").alias("its_root")
+    )
     apart = minor.join(others, "h").where(F.col("root") != F.col("its_root")).where(_compatible("n", "m", percent))
+    apart = apart.where(_early_in_both(percent))
     # Each pair once for each list: from the minor member, or from the smaller one of two minor members.
     apart = apart.where((F.col("its_root") == F.col("main")) | (F.col("node") < F.col("other")))
-    counted = apart.groupBy(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).agg(
-        F.count("*").alias("lists"), F.max(F.least("n", "m")).alias("low"), F.max(F.greatest("n", "m")).alias("high")
-    )
-    second = stored(
-        counted.where(_enough_lists(percent, boundary)).select("a", "b").join(first, ["a", "b"], "left_anti"),
-        "jaccard-pairs",
-    )
+    second = stored(_pairs(apart).join(first, ["a", "b"], "left_anti"), "jaccard-pairs")
     more = _verify(second, sketches, rows, width, percent)
     ties = joined.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)
     final = connected_components(ties, "a", "b")
