@@ -280,8 +280,11 @@ def train_forecast(training: DataFrame, params: TreeParams | None = None) -> Pip
     """Fit category indexes and boosted trees on ``training`` alone.
 
     ``training`` is read once per tree level; hand in a materialised table.
+    A table without rows is an error.
     """
     params = params or TreeParams()
+    if training.isEmpty():
+        raise ValueError("no training rows: no series is long enough for the lags at these series keys")
     ensure_checkpoint_dir(training.sparkSession)
     indexed = [f"{c}_index" for c in CATEGORICAL_FEATURES]
     indexer = StringIndexer(

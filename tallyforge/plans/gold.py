@@ -23,6 +23,7 @@ from tallyforge.operators.ratios import exact_mean, growth_pct, ratio
 
 YEAR_QUARTER = ["fiscal_year", "fiscal_quarter"]
 YEAR_QUARTER_MONTH = [*YEAR_QUARTER, "fiscal_month"]
+# Fixed values.
 LTM_EBITDA = 350_000_000
 CASH_CYCLE_OFFSET_DAYS = 30
 

@@ -334,7 +334,15 @@ def forecast_detail(tables: Tables, flt: ReportFilter) -> DataFrame:
             "prediction_interval_lower",
             "prediction_interval_upper",
         )
-        .orderBy("forecast_month", "business_unit", "region")
+        .orderBy(
+            "forecast_month",
+            "business_unit",
+            "region",
+            "product_family",
+            "predicted_revenue",
+            "prediction_interval_lower",
+            "prediction_interval_upper",
+        )
     )
 
 

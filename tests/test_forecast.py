@@ -117,6 +117,11 @@ def model(training):
     return fc.train_forecast(training, PARAMS)
 
 
+def test_training_without_rows_is_named(training):
+    with pytest.raises(ValueError, match="no training rows"):
+        fc.train_forecast(training.limit(0), PARAMS)
+
+
 def test_training_set_drops_gaps_and_bad_numbers(training):
     good = training.withColumn("fx_rate_avg", F.col("fx_rate_avg").cast("string"))
     bad = training.limit(3).withColumn("fx_rate_avg", F.lit("n/a"))
