@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from tallyforge.session import scratch_path
 
 # Bytes of text that a task turns into arrays at once; a longer text is a piece of its own.
-PIECE_BYTES = 1 << 21
+PIECE_BYTES = 1 << 20
+# Words whose bytes are spread into wider numbers at once, so that a long text takes little more than its own bytes.
+BLOCK_WORDS = 1 << 15
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -82,6 +84,15 @@ class Words(NamedTuple):
     bounds: np.ndarray
 
 
+def word_bytes(starts: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Blocks of words: first word, word after the last, places of their bytes, and where each word begins in these."""
+    for first in range(0, len(starts), BLOCK_WORDS):
+        last = min(first + BLOCK_WORDS, len(starts))
+        size = lengths[first:last]
+        heads = np.cumsum(size) - size
+        yield first, last, np.repeat(starts[first:last] - heads, size) + np.arange(size.sum()), heads
+
+
 def byte_words(piece: Piece, longest: int | None = None, between: np.ndarray = SPACE) -> Words:
     """Runs of bytes other than those of ``between`` (blank and 0x09-0x0D), coded with A-Z in lower case.
 
@@ -110,10 +121,13 @@ def byte_words(piece: Piece, longest: int | None = None, between: np.ndarray = S
     bounds = np.searchsorted(starts, offsets)
     if not len(starts):
         return Words(np.empty(0, np.uint64), starts, lengths, bounds)
-    heads = np.cumsum(lengths) - lengths
-    place = np.arange(heads[-1] + lengths[-1]) - np.repeat(heads, lengths)
-    values = _BYTE_CODES[data[solid]] * _power_table(int(lengths.max()))[place]
-    codes = mix(np.add.reduceat(values, heads) + lengths.astype(np.uint64))
+    powers = _power_table(int(lengths.max()))
+    codes = np.empty(len(starts), np.uint64)
+    for first, last, places, heads in word_bytes(starts, lengths):
+        size = lengths[first:last]
+        at = np.arange(len(places)) - np.repeat(heads, size)
+        values = _BYTE_CODES[data[places]] * powers[at]
+        codes[first:last] = mix(np.add.reduceat(values, heads) + size.astype(np.uint64))
     return Words(codes, starts, lengths, bounds)
 
 

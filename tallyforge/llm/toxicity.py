@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm.corpus import LOWER, byte_words, documents, fold, stored, text_pieces
+from tallyforge.llm.corpus import LOWER, byte_words, documents, fold, stored, text_pieces, word_bytes
 
 SAMPLE = 20_000
 # A term: least share of the toxic texts that have it, least lower confidence limit of the share of toxic texts among
@@ -122,10 +122,9 @@ class Lexicon:
             self.found = {}
         codes, first, inverse = np.unique(words.codes, return_index=True, return_inverse=True)
         lengths = words.lengths[first]
-        solid = np.repeat(words.starts, words.lengths) + (
-            np.arange(words.lengths.sum()) - np.repeat(np.cumsum(words.lengths) - words.lengths, words.lengths)
-        )
-        masks = np.bitwise_or.reduceat(_LETTER_BIT[piece.data[solid]], np.cumsum(words.lengths) - words.lengths)[first]
+        masks = np.empty(len(codes), np.uint64)
+        for low, high, places, heads in word_bytes(words.starts[first], lengths):
+            masks[low:high] = np.bitwise_or.reduceat(_LETTER_BIT[piece.data[places]], heads)
         out = np.full(len(codes), -1)
         for k in np.flatnonzero(self.near(masks, lengths)).tolist():
             code = int(codes[k])
