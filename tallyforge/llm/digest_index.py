@@ -43,16 +43,23 @@ class DigestIndex:
             self._append(self.spark.createDataFrame([], INDEX_SCHEMA))
         return self.spark.table(self.name)
 
-    def add(self, docs: DataFrame, batch: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    def add(
+        self,
+        docs: DataFrame,
+        batch: str,
+        id_column: str = "doc_id",
+        text_column: str = "text",
+        row_column: str | None = None,
+    ) -> DataFrame:
         """Append the texts that are new and return one row for each row of ``docs``.
 
-        Columns: row (number of the row in this call), doc_id, digest, keep_id, group_size, kept. Of equal texts within
-        the batch the row with the largest id stays (null is least; of repeated rows one stays); a text that an earlier
-        batch brought keeps none. Adding a batch again after a failure gives the same decisions and appends nothing.
+        Columns: row (``row_column``, or else the number of the row in this call), doc_id, digest, keep_id, group_size,
+        kept. Of equal texts within the batch the row with the largest id stays (null is least; of repeated rows one
+        stays); a text that an earlier batch brought keeps none. Adding a batch again after a failure gives the same decisions and appends nothing.
         """
         known = self.table()
         rows = docs.select(
-            F.monotonically_increasing_id().alias("row"),
+            (F.col(row_column) if row_column else F.monotonically_increasing_id()).alias("row"),
             F.col(id_column).cast("long").alias("doc_id"),
             text_digest(F.col(text_column)).alias("digest"),
         )
@@ -86,20 +93,11 @@ def new_index(spark: SparkSession) -> DigestIndex:
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay when equal texts are dropped, unchanged; of repeated rows one stays."""
-    index = new_index(docs.sparkSession)
-    found = stored(index.add(docs, "only"), "digest-decisions")
-    key = ["doc_id", "digest"]
-    gone = found.where(~F.col("kept")).select(*key).distinct()
-    twice = found.where("kept").select(*key).join(gone, key, "left_semi")
-    nulls = found.where("kept AND doc_id IS NULL").select(*key)
-    twice = stored(twice.unionByName(nulls).distinct(), "digest-repeated")
-    gone = stored(gone, "digest-gone")
-    rows = docs.withColumn("_digest", text_digest(F.col("text")))
-
-    def same(other: DataFrame) -> Column:
-        return rows["doc_id"].eqNullSafe(other["doc_id"]) & (rows["_digest"] == other["digest"])
-
-    # A row that stays although its id and text are also among the dropped ones is one of several repeats.
-    single = rows.join(gone, same(gone), "left_anti").where("doc_id IS NOT NULL")
-    repeats = rows.join(twice, same(twice), "left_semi").dropDuplicates(["doc_id", "_digest"])
-    return single.unionByName(repeats).drop("_digest")
+    number = "row"
+    while number in docs.columns:
+        number += "_"
+    rows = stored(docs.withColumn(number, F.monotonically_increasing_id()), "digest-numbered")
+    found = new_index(docs.sparkSession).add(rows, "only", row_column=number)
+    stay = found.where("kept").select(F.col("row").alias(number))
+    # Row numbers are unique, so the hash tables of a partition are even, and no text is sorted.
+    return rows.join(stay.hint("shuffle_hash"), number, "left_semi").drop(number)
