@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -96,6 +97,14 @@ def bronze_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sink_csv_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the documents as CSV and read them back: every text as it was."""
+    docs = SampleTables(spark, sf_dir).raw("documents")
+    path = scratch_path(spark, "csv-text")
+    write_csv(docs, path, exact=True)
+    return read_csv(spark, path, docs.schema, exact=True)
+
+
 def sink_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the orders as headered CSV and read them back typed."""
     orders = SampleTables(spark, sf_dir).raw("orders")
@@ -326,28 +335,66 @@ def _stored_training(tables: SampleTables) -> DataFrame:
     return fc.materialise(_training(tables), "training-set")
 
 
+_FITTED: dict[tuple[str, str], tuple[DataFrame, PipelineModel]] = {}
+
+
+def _fitted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, PipelineModel]:
+    """Stored training set and model of a folder, made once in a session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FITTED:
+        training = _stored_training(SampleTables(spark, sf_dir))
+        _FITTED[key] = training, fc.train_forecast(training, SMALL_TREES)
+    return _FITTED[key]
+
+
 def ml_train(spark: SparkSession, sf_dir: str) -> DataFrame:
-    training = _stored_training(SampleTables(spark, sf_dir))
-    model = fc.train_forecast(training, SMALL_TREES)
+    training, model = _fitted(spark, sf_dir)
     return model.transform(training).select(*SERIES, "period", fc.TARGET, "prediction")
 
 
 def ml_cv_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fc.cross_validate(_stored_training(SampleTables(spark, sf_dir)), SMALL_TREES)
+    training, _ = _fitted(spark, sf_dir)
+    return fc.cross_validate(training, SMALL_TREES)
+
+
+def ml_cv_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validated rows of each fold, as the metrics count them."""
+    return ml_cv_metrics(spark, sf_dir).select("fold", "row_count")
 
 
 def ml_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    training = _stored_training(SampleTables(spark, sf_dir))
-    model = fc.train_forecast(training, SMALL_TREES)
+    training, model = _fitted(spark, sf_dir)
     return fc.feature_importance(model, training)
 
 
+def ml_importance_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every feature, and whether both of its shares are possible ones."""
+    split = F.col("split_importance")
+    return ml_feature_importance(spark, sf_dir).select(
+        "feature",
+        (F.col("mean_abs_shap") >= 0).alias("has_attribution"),
+        split.between(0, 1).alias("has_split_share"),
+    )
+
+
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    training = _stored_training(SampleTables(spark, sf_dir))
-    model = fc.train_forecast(training, SMALL_TREES)
+    training, model = _fitted(spark, sf_dir)
     return fc.score_forecast(model, training, SERIES)
 
 
+def ml_forecast_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months of every forecast series, and whether its ranges hold the predictions and are equally wide."""
+    value, low, high = "predicted_revenue", "prediction_interval_lower", "prediction_interval_upper"
+    width = F.col(high) - F.col(low)
+    return _scored(spark, sf_dir).groupBy(*SERIES).agg(
+        F.countDistinct("forecast_month").alias("months"),
+        F.min("forecast_month").alias("first_month"),
+        F.max("forecast_month").alias("last_month"),
+        F.bool_and(F.col(value).between(F.col(low), F.col(high))).alias("in_range"),
+        (F.max(width) - F.min(width) < 0.025).alias("even_width"),
+    )
+
+
 def forecast_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Width of the range around every prediction."""
     low, high = F.col("prediction_interval_lower"), F.col("prediction_interval_upper")
@@ -368,6 +415,7 @@ def queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         "bronze_ingest_stream": bronze_ingest_stream,
         "sink_csv_roundtrip": sink_csv_roundtrip,
+        "sink_csv_text": sink_csv_text,
         "table_inventory": inventory,
         "expect_drop": expect_drop,
         "expect_warn_report": expect_warn_report,
@@ -414,6 +462,9 @@ def queries() -> dict[str, Query]:
         "ml_cv_metrics": ml_cv_metrics,
         "ml_feature_importance": ml_feature_importance,
         "ml_scoring_frame": _shaped(lambda t: fc.scoring_frame(_training(t), SERIES)),
+        "ml_cv_shape": ml_cv_shape,
+        "ml_importance_shape": ml_importance_shape,
+        "ml_forecast_shape": ml_forecast_shape,
         "forecast_intervals": forecast_intervals,
         "ml_revenue_forecast": _scored,
     }

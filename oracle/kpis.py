@@ -490,6 +490,31 @@ f AS (
   WHERE i < n - (3 - k) * (n // 4))
 SELECT fold, role, min(period) AS first_period, max(period) AS last_period, COUNT(*) AS row_count
 FROM x_training JOIN f USING (month_index) GROUP BY ALL
+""",
+    "ml_cv_shape": """
+WITH p AS (
+  SELECT month_index, row_number() OVER (ORDER BY month_index) - 1 AS i, COUNT(*) OVER () AS n
+  FROM (SELECT DISTINCT month_index FROM x_training)),
+f AS (
+  SELECT k AS fold, month_index FROM p, (SELECT unnest([1, 2, 3]) AS k)
+  WHERE i >= n - (4 - k) * (n // 4) AND i < n - (3 - k) * (n // 4))
+SELECT fold, COUNT(*) AS row_count FROM x_training JOIN f USING (month_index) GROUP BY ROLLUP (fold)
+""",
+    "ml_importance_shape": """
+SELECT unnest(['lag_revenue_1m', 'lag_revenue_2m', 'lag_revenue_3m', 'lag_revenue_4m', 'lag_revenue_5m',
+  'lag_revenue_6m', 'rolling_mean_3m', 'rolling_mean_6m', 'yoy_revenue_same_month', 'order_backlog_value',
+  'month_of_year', 'quarter', 'utilization_pct', 'fx_rate_avg', 'business_unit', 'region', 'end_market',
+  'is_aftermarket']) AS feature, true AS has_attribution, true AS has_split_share
+FROM (SELECT COUNT(*) AS n FROM x_training) WHERE n > 0
+""",
+    "ml_forecast_shape": """
+WITH last AS (
+  SELECT business_unit, region, product_family, max(month_index) AS idx FROM x_training GROUP BY ALL)
+SELECT business_unit, region, product_family, 18 AS months,
+  CONCAT((idx + 1) // 12, '-', LPAD(CAST((idx + 1) % 12 + 1 AS VARCHAR), 2, '0')) AS first_month,
+  CONCAT((idx + 18) // 12, '-', LPAD(CAST((idx + 18) % 12 + 1 AS VARCHAR), 2, '0')) AS last_month,
+  true AS in_range, true AS even_width
+FROM last
 """,
     "ml_scoring_frame": f"""
 SELECT product_family, period, CAST(idx AS INT) AS month_index, CAST(idx // 12 AS INT) AS fiscal_year,

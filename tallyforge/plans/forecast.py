@@ -329,13 +329,15 @@ def cross_validate(
     training: DataFrame, params: TreeParams | None = None, folds: int = 3
 ) -> DataFrame:
     """Metrics per fold, and their means in the row with a NULL fold."""
-    assigned = assign_folds(training, folds)
-    scored = []
-    for fold in range(1, folds + 1):
-        part = assigned.where(F.col("fold") == fold)
-        model = train_forecast(part.where(F.col("role") == "train"), params)
-        predictions = model.transform(part.where(F.col("role") == "validate"))
-        scored.append(predictions.select("fold", TARGET, "prediction"))
+    # One row for each fold; the months filter the stored rows directly.
+    spans = fold_periods(training, folds).orderBy("fold").collect()
+    if not spans:
+        raise ValueError("no folds: the training rows span too few months")
+    scored, month = [], F.col("month_index")
+    for span in spans:
+        model = train_forecast(training.where(month < span.first_period), params)
+        predictions = model.transform(training.where(month.between(span.first_period, span.last_period)))
+        scored.append(predictions.select(F.lit(span.fold).alias("fold"), TARGET, "prediction"))
     per_fold = regression_metrics(reduce(DataFrame.unionByName, scored), ["fold"])
     # Grouping sets over the handful of fold rows give the mean line as well.
     return (
@@ -350,6 +352,9 @@ def cross_validate(
 
 # Attribution --------------------------------------------------------------------
 
+# Rows that serve one another as background.
+BUCKET_ROWS = 500
+
 
 def sample_rows(df: DataFrame, size: int, seed: int) -> DataFrame:
     """At most ``size`` rows in hash order, the same ones on every run."""
@@ -360,42 +365,53 @@ def sample_rows(df: DataFrame, size: int, seed: int) -> DataFrame:
 def feature_importance(
     model: PipelineModel,
     training: DataFrame,
-    sample_size: int = 500,
+    sample_size: int | None = None,
     rounds: int = 5,
     seed: int = 42,
 ) -> DataFrame:
     """Mean absolute Shapley value per feature, beside the trees' split importance.
 
+    Every row is explained; ``sample_size`` explains that many, in hash order.
     Shapley values are estimated by sampling: each round switches the features
     of a background row to those of the explained row one by one in a random
-    order, and credits each feature with the change of the prediction.
+    order, and credits each feature with the change of the prediction. The
+    background row comes from the same bucket of about ``BUCKET_ROWS`` rows by
+    row hash; series and month make rows distinct, so buckets are even.
     """
     *preparation, trees = model.stages
-    vectors = PipelineModel(list(preparation)).transform(sample_rows(training, sample_size, seed))
-    # The sample is at most ``sample_size`` rows, so numbering it in one task is cheap.
+    chosen = training if sample_size is None else sample_rows(training, sample_size, seed)
+    buckets = max(1, -(-chosen.count() // BUCKET_ROWS))
+    vectors = PipelineModel(list(preparation)).transform(
+        chosen.withColumn("_hash", F.xxhash64(F.lit(seed), *[F.col(c) for c in chosen.columns]))
+    )
+    own = Window.partitionBy("bucket")
     numbered = vectors.select(
-        (F.row_number().over(Window.orderBy(F.xxhash64(vector_to_array("features")))) - 1).alias("row"),
-        vector_to_array("features").alias("x"),
+        F.pmod("_hash", F.lit(buckets)).alias("bucket"), "_hash", vector_to_array("features").alias("x")
+    ).select(
+        "bucket",
+        (F.row_number().over(own.orderBy("_hash")) - 1).alias("row"),
+        F.count(F.lit(1)).over(own).alias("rows"),
+        "x",
     )
     numbered = materialise(numbered, "explained-rows")
-    rows = numbered.count()
     width = len(FEATURES)
-    shift = F.pmod(F.xxhash64(F.lit(seed), F.col("round")), F.lit(max(rows - 1, 1))) + 1
+    others = F.greatest(F.col("rows") - 1, F.lit(1))
+    shift = F.pmod(F.xxhash64(F.lit(seed), F.col("round")), others) + 1
     walks = numbered.select(
-        "row", "x", F.explode(F.sequence(F.lit(1), F.lit(rounds))).alias("round")
-    ).withColumn("other", F.pmod(F.col("row") + shift, F.lit(rows)))
-    background = numbered.select(F.col("row").alias("other"), F.col("x").alias("z"))
+        "bucket", "row", "rows", "x", F.explode(F.sequence(F.lit(1), F.lit(rounds))).alias("round")
+    ).withColumn("other", F.pmod(F.col("row") + shift, F.col("rows")))
+    background = numbered.select("bucket", F.col("row").alias("other"), F.col("x").alias("z"))
     numbers = F.sequence(F.lit(1), F.lit(width))
     shuffled = F.array_sort(
         F.transform(
             numbers,
             lambda j: F.struct(
-                F.xxhash64(F.lit(seed), F.col("row"), F.col("round"), j).alias("h"), j.alias("j")
+                F.xxhash64(F.lit(seed), F.col("bucket"), F.col("row"), F.col("round"), j).alias("h"), j.alias("j")
             ),
         )
     )
     steps = (
-        walks.join(background, "other")
+        walks.join(background, ["bucket", "other"])
         .withColumn("order", F.transform(shuffled, lambda s: s["j"]))
         .withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(width))))
         .withColumn("switched", F.slice("order", F.lit(1), F.col("step")))
@@ -407,14 +423,15 @@ def feature_importance(
         ).otherwise(F.element_at("z", j)),
     )
     predicted = trees.transform(steps.withColumn("features", array_to_vector(mixed)))
-    walk = Window.partitionBy("row", "round").orderBy("step")
+    walk = Window.partitionBy("bucket", "row", "round").orderBy("step")
     gains = predicted.select(
+        "bucket",
         "row",
         "round",
         F.when(F.col("step") > 0, F.element_at("order", F.col("step"))).alias("j"),
         (F.col("prediction") - F.lag("prediction").over(walk)).alias("gain"),
     ).where(F.col("j").isNotNull())
-    per_row = gains.groupBy("row", "j").agg(F.avg("gain").alias("shap"))
+    per_row = gains.groupBy("bucket", "row", "j").agg(F.avg("gain").alias("shap"))
     split_gain = training.sparkSession.createDataFrame(
         [
             (number + 1, name, float(trees.featureImportances[number]))

@@ -8,9 +8,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyforge.operators.quality import orphan_report
 from tallyforge.operators.silver import RESCUED_LINES, to_silver_observed
 from tallyforge.plans import forecast as fc
 from tallyforge.plans import gold
+from tallyforge.plans.metrics import forecast_with_actuals
+from tallyforge.session import shared_root
 from tallyforge.sources.feeds import FEEDS, RESCUED
 from tallyforge.sources.warehouse import Warehouse
 from tallyforge.streaming.ingest import ingest_feed
@@ -127,6 +130,38 @@ def build_silver(
     return counts
 
 
+# Key columns of the star and the table that must hold their values.
+REFERENCES = {
+    "entity_id": ("silver_dim_entity", "entity_id"),
+    "account_id": ("silver_dim_account", "account_id"),
+    "scenario_id": ("silver_dim_scenario", "scenario_id"),
+    "time_id": ("silver_dim_time", "time_id"),
+    "product_id": ("silver_dim_product", "product_id"),
+    "customer_id": ("silver_dim_customer", "customer_id"),
+    "cost_center_id": ("silver_dim_cost_center", "cost_center_id"),
+    "currency_code": ("silver_dim_currency", "currency_code"),
+    "from_currency": ("silver_dim_currency", "currency_code"),
+    "to_currency": ("silver_dim_currency", "currency_code"),
+}
+
+
+def build_orphan_report(warehouse: Warehouse) -> DataFrame:
+    """Write the keys of the cleaned tables that no dimension row answers, as counts for each column."""
+    checks = {}
+    for feed in FEEDS.values():
+        for column, _ in feed.columns:
+            table, key = REFERENCES.get(column, (feed.silver_table, column))
+            if table != feed.silver_table:
+                checks[f"{feed.silver_table}.{column}"] = (
+                    warehouse[feed.silver_table],
+                    warehouse[table],
+                    column,
+                    key,
+                )
+    warehouse.write("fk_orphan_report", orphan_report(checks), "silver", "Keys without a dimension row")
+    return warehouse["fk_orphan_report"]
+
+
 def build_gold(warehouse: Warehouse, names: Sequence[str] | None = None) -> None:
     """Write the KPI tables from the cleaned ones."""
     for spec in GOLD_TABLES:
@@ -135,13 +170,22 @@ def build_gold(warehouse: Warehouse, names: Sequence[str] | None = None) -> None
             warehouse.write(spec.name, frame, spec.tier, spec.comment, spec.partition_by)
 
 
+def model_path(warehouse: Warehouse) -> str:
+    """Folder of the fitted pipeline in the shared folder."""
+    return f"{shared_root(warehouse.spark).rstrip('/')}/models/{warehouse.database}/revenue_forecast"
+
+
 def build_forecast(
     warehouse: Warehouse,
     params: fc.TreeParams | None = None,
     series_keys: Sequence[str] = fc.SERIES_KEYS,
     gap_aware: bool = False,
 ) -> DataFrame:
-    """Train on the cleaned orders, write the forecast and return it."""
+    """Train on the cleaned orders, write the forecast and return it.
+
+    Fold metrics, feature attribution and the forecast beside the actuals are written as tables of their own; the
+    fitted pipeline is saved at ``model_path``.
+    """
     features = fc.forecast_features(
         warehouse["silver_fact_orders"],
         warehouse["silver_dim_entity"],
@@ -156,6 +200,15 @@ def build_forecast(
     model = fc.train_forecast(training, params)
     scored = fc.score_forecast(model, training, series_keys)
     warehouse.write("ml_revenue_forecast", scored, "gold", "Revenue forecast by series and month")
+    compared = forecast_with_actuals(
+        warehouse["ml_revenue_forecast"], warehouse["silver_dim_entity"], warehouse["gold_revenue_summary"]
+    )
+    warehouse.write("forecast_with_actuals", compared, "gold", "Forecast beside actual revenue")
+    folds = fc.cross_validate(training, params)
+    warehouse.write("ml_cv_metrics", folds, "gold", "Forecast errors by validation fold")
+    shares = fc.feature_importance(model, training)
+    warehouse.write("ml_feature_importance", shares, "gold", "Share of each feature in the forecast")
+    model.write().overwrite().save(model_path(warehouse))
     return warehouse["ml_revenue_forecast"]
 
 
@@ -169,6 +222,7 @@ def run_all(
 ) -> dict[str, dict[str, int]]:
     """Ingest, clean, aggregate and forecast; returns the violation counts."""
     counts = build_silver(warehouse, build_bronze(spark, landing, bronze_root))
+    build_orphan_report(warehouse)
     build_gold(warehouse)
     build_forecast(warehouse, params, series_keys)
     return counts

@@ -34,11 +34,7 @@ class MetricView:
         ``where`` filters source rows, so it reaches the scan.
         """
         source = tables if isinstance(tables, DataFrame) else tables[self.source]
-        chosen = list(measures) if measures is not None else list(self.measures)
-        unknown = [d for d in dims if d not in self.dimensions]
-        unknown += [m for m in chosen if m not in self.measures]
-        if unknown:
-            raise KeyError(f"{self.name} has no {', '.join(unknown)}")
+        chosen = self._chosen(dims, measures)
         if where is not None:
             source = source.where(where)
         grouping = [F.expr(self.dimensions[d]).alias(d) for d in dims]
@@ -46,6 +42,27 @@ class MetricView:
             *[F.expr(self.measures[m]).alias(m) for m in chosen]
         )
 
+    def statement(self, dims: Sequence[str] = (), measures: Sequence[str] | None = None) -> str:
+        """``query`` as SQL text for ``Warehouse.query``, with the source's short name in braces."""
+        columns = [f"{self.dimensions[d]} AS `{d}`" for d in dims]
+        columns += [f"{self.measures[m]} AS `{m}`" for m in self._chosen(dims, measures)]
+        groups = f" GROUP BY {', '.join(str(k + 1) for k in range(len(dims)))}" if dims else ""
+        return f"SELECT {', '.join(columns)} FROM {{{self.source}}}{groups}"
+
+    def _chosen(self, dims: Sequence[str], measures: Sequence[str] | None) -> list[str]:
+        chosen = list(measures) if measures is not None else list(self.measures)
+        unknown = [d for d in dims if d not in self.dimensions]
+        unknown += [m for m in chosen if m not in self.measures]
+        if unknown:
+            raise KeyError(f"{self.name} has no {', '.join(unknown)}")
+        return chosen
+
+
+def located_forecast(forecast: DataFrame, entity: DataFrame) -> DataFrame:
+    """The forecast with unit and region; what its series keys lack of them comes from the entity."""
+    lacking = [c for c in ("business_unit", "region") if c not in forecast.columns]
+    return forecast.join(entity.select("entity_id", *lacking), "entity_id") if lacking else forecast
+
 
 def forecast_with_actuals(
     forecast: DataFrame, entity: DataFrame, revenue: DataFrame
@@ -61,11 +78,11 @@ def forecast_with_actuals(
         period_key(F.col("fiscal_year"), F.col("fiscal_month")).alias("forecast_month"),
         F.col("revenue_usd").alias("actual_revenue"),
     )
-    return (
-        forecast.select("entity_id", "forecast_month", "predicted_revenue")
-        .join(entity.select("entity_id", "business_unit", "region"), "entity_id")
-        .join(actual, ["business_unit", "region", "forecast_month"], "left")
-    )
+    grain = ["business_unit", "region", "forecast_month"]
+    located = located_forecast(forecast, entity)
+    return located.select(
+        *[c for c in located.columns if c == "entity_id"], *grain, "predicted_revenue"
+    ).join(actual, grain, "left")
 
 
 def forecast_accuracy_aligned(
@@ -74,8 +91,7 @@ def forecast_accuracy_aligned(
     """Predictions summed to unit, region and month, then set against actuals."""
     grain = ["business_unit", "region", "forecast_month"]
     predicted = (
-        forecast.select("entity_id", "forecast_month", "predicted_revenue")
-        .join(entity.select("entity_id", "business_unit", "region"), "entity_id")
+        located_forecast(forecast, entity)
         .groupBy(*grain)
         .agg(F.sum("predicted_revenue").alias("predicted_revenue"))
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions.text import currency_label, millions_label, percent_label
 from tallyforge.operators.ratios import ratio
+from tallyforge.plans.metrics import located_forecast
 
 Tables = Mapping[str, DataFrame]
 
@@ -316,10 +317,10 @@ def q_book_to_bill(tables: Tables, flt: ReportFilter) -> DataFrame:
 
 
 def _located_forecast(tables: Tables, flt: ReportFilter) -> DataFrame:
-    entity = flt.units(tables["silver_dim_entity"])
-    return tables["ml_revenue_forecast"].join(
-        entity.select("entity_id", "business_unit", "region"), "entity_id"
-    )
+    located = located_forecast(tables["ml_revenue_forecast"], tables["silver_dim_entity"])
+    if "product_family" not in located.columns:
+        located = located.withColumn("product_family", F.lit(None).cast("string"))
+    return flt.units(located)
 
 
 def forecast_detail(tables: Tables, flt: ReportFilter) -> DataFrame:

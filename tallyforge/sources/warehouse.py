@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Part of the name of a table that is being written or replaced.
+STAGED = "__staged_"
+
 
 class Warehouse(Mapping):
     """Tables of a catalog database, addressed by their short name."""
@@ -29,18 +33,48 @@ class Warehouse(Mapping):
         comment: str = "",
         partition_by: Sequence[str] = (),
     ) -> None:
-        """Replace a table; its tier and comment are kept as table properties."""
+        """Replace a table; its tier and comment are kept as table properties.
+
+        The rows are written to a folder of their own under a passing name, which takes the table's name only when all
+        are there. So a failed write leaves the old table, ``df`` may read the table that it replaces, and no files are
+        moved.
+        """
         if partition_by:
             # Few files per folder, and a large folder is still split over tasks.
             df = df.hint("rebalance", *partition_by)
-        writer = df.write.mode("overwrite").format("parquet")
+        made = f"{table}{STAGED}{uuid.uuid4().hex}"
+        folder = f"{self.spark.catalog.getDatabase(self.database).locationUri.rstrip('/')}/{made}"
+        writer = df.write.mode("errorifexists").format("parquet").option("path", folder)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.saveAsTable(self.qualified(table))
+        try:
+            writer.saveAsTable(self.qualified(made))
+        except Exception:
+            self._delete(folder)
+            raise
         properties = {"quality": tier, "comment": comment}
         text = ", ".join(f"'{k}' = '{_escaped(v)}'" for k, v in properties.items() if v)
         if text:
-            self.spark.sql(f"ALTER TABLE {self.qualified(table)} SET TBLPROPERTIES ({text})")
+            self.spark.sql(f"ALTER TABLE {self.qualified(made)} SET TBLPROPERTIES ({text})")
+        if table not in self:
+            self._rename(made, table)
+            return
+        replaced = f"{made}_old"
+        self._rename(table, replaced)
+        self._rename(made, table)
+        about = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.qualified(replaced)}")
+        place = about.where("col_name = 'Location'").first()
+        self.spark.sql(f"DROP TABLE {self.qualified(replaced)}")
+        if place and STAGED in place.data_type:
+            self._delete(place.data_type)
+
+    def _rename(self, table: str, name: str) -> None:
+        self.spark.sql(f"ALTER TABLE {self.qualified(table)} RENAME TO {self.qualified(name)}")
+
+    def _delete(self, folder: str) -> None:
+        """Remove a folder that ``write`` made."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def append(self, table: str, df: DataFrame) -> None:
         df.write.mode("append").format("parquet").saveAsTable(self.qualified(table))
@@ -66,7 +100,7 @@ class Warehouse(Mapping):
         return self.spark.table(self.qualified(table))
 
     def __iter__(self) -> Iterator[str]:
-        return (t.name for t in self.spark.catalog.listTables(self.database))
+        return (t.name for t in self.spark.catalog.listTables(self.database) if STAGED not in t.name)
 
     def __len__(self) -> int:
         return sum(1 for _ in self)

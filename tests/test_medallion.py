@@ -2,11 +2,16 @@ import uuid
 from pathlib import Path
 from shutil import copyfile
 
+import pytest
+from pyspark.ml import PipelineModel
+
 from tallyforge.plans import forecast as fc
-from tallyforge.plans.medallion import GOLD_TABLES, build_bronze, build_silver, run_all
-from tallyforge.plans.reports import ReportFilter, report
+from tallyforge.plans.medallion import GOLD_TABLES, build_bronze, build_silver, model_path, run_all
+from tallyforge.plans.metrics import METRIC_VIEWS
+from tallyforge.plans.questions import QUESTIONS
+from tallyforge.plans.reports import REPORTS, ReportFilter, report
 from tallyforge.sources.feeds import FEEDS
-from tallyforge.sources.files import write_csv
+from tallyforge.sources.files import read_csv, write_csv
 from tallyforge.sources.testdata import SampleTables, bronze_rows
 from tallyforge.sources.warehouse import Warehouse, table_inventory
 
@@ -42,6 +47,21 @@ def test_landing_to_forecast(spark):
         "SELECT count(*) AS n FROM {gold_order_backlog} WHERE region = :region", region="ASIA' OR 1=1 --"
     )
     assert asked.first().n == 0
+    orphans = house["fk_orphan_report"]
+    assert orphans.where("check_name = 'silver_fact_orders.entity_id'").first().orphan_rows == 0
+    assert orphans.count() > 20
+    assert {r.fold for r in house["ml_cv_metrics"].collect()} == {1, 2, 3, None}
+    assert house["ml_feature_importance"].count() == len(fc.FEATURES)
+    assert PipelineModel.load(model_path(house)).stages
+    for name in REPORTS:
+        if name.startswith("forecast_"):
+            assert report(name, house, ReportFilter()).count() > 0
+    assert QUESTIONS["nlq_top_family"](house).count() > 0
+    view = METRIC_VIEWS["mv_forecast_accuracy"]
+    assert view.query(house, ["Region"]).count() == house.query(view.statement(["Region"])).count() > 0
+    same = METRIC_VIEWS["mv_ebitda"]
+    asked = house.query(same.statement(["Region"], ["EBITDA Margin"])).collect()
+    assert sorted(asked) == sorted(same.query(house, ["Region"], ["EBITDA Margin"]).collect())
     # A rebuild from the same landing zone changes nothing.
     before = house["silver_fact_orders"].count()
     build_silver(house, build_bronze(*places), ["orders"])
@@ -52,3 +72,21 @@ def test_landing_to_forecast(spark):
     assert log.where("failed > 0").count() == 0
     tags = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {house.qualified('gold_order_backlog')}").collect()}
     assert tags["quality"] == "gold"
+
+
+def test_failed_write_keeps_the_table(spark):
+    house = Warehouse(spark, f"plan_{uuid.uuid4().hex[:8]}")
+    house.write("kept", spark.range(3), "gold")
+    with pytest.raises(Exception, match="broken"):
+        house.write("kept", spark.range(5).selectExpr("IF(id = 4, raise_error('broken'), id) AS id"))
+    assert house["kept"].count() == 3 and list(house) == ["kept"]
+    house.write("kept", house["kept"].where("id > 0"))
+    assert house["kept"].count() == 2 and list(house) == ["kept"]
+
+
+def test_exact_csv_keeps_every_text(spark):
+    texts = [None, "", " x ", "a\nb", "a\r\nb", 'say "hi"', "back\\slash", "\\N", "\\", "\\\\N", "tab\t,comma", "'", '""', "#"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    path = f"/tmp/tallyforge-run-{uuid.uuid4().hex}"
+    write_csv(rows, path, exact=True)
+    assert sorted(read_csv(spark, path, rows.schema, exact=True).collect()) == rows.orderBy("id").collect()
