@@ -21,6 +21,9 @@ from tallyforge.session import scratch_path
 PIECE_BYTES = 1 << 20
 # Words whose bytes are spread into wider numbers at once, so that a long text takes little more than its own bytes.
 BLOCK_WORDS = 1 << 15
+# Rows of an Arrow batch; Spark's own default is ten times as many, which long texts and pairs of sets make too large.
+BATCH_ROWS = 1000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -161,12 +164,20 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Rows with texts or sets go to Python at most ``BATCH_ROWS`` at a time, unless the session asks for fewer."""
+    if int(spark.conf.get(_BATCH_SETTING)) > BATCH_ROWS:
+        spark.conf.set(_BATCH_SETTING, BATCH_ROWS)
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write the rows to the shared folder and read them back: lineage ends here."""
+    small_batches(df.sparkSession)
     path = scratch_path(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyforge.llm.corpus import PIECE_BYTES
+from tallyforge.llm.corpus import PIECE_BYTES, small_batches
 
 TOKENIZER = "byte_bpe_50k.json"
 MOST_NODES, MOST_SEGMENTS, MOST_PAIRS = 400_000, 250_000, 300_000
@@ -282,6 +282,7 @@ def encoded_digests(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
 
     The same as ``encode`` followed by ``decode``, in one pass that sends no ids.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return rows.mapInArrow(lambda batches: _digest(batches, tokenizer), schema)
