@@ -10,11 +10,23 @@ import zlib
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tallyforge.llm import byte_gru, class_lm, jaccard_join, licences, packing, prefix_bpe, sharding, templates, toxicity
+from tallyforge.llm import (
+    byte_gru,
+    class_lm,
+    corpus,
+    jaccard_join,
+    licences,
+    packing,
+    prefix_bpe,
+    sharding,
+    templates,
+    toxicity,
+)
 from tallyforge.llm.components import connected_components
 from tallyforge.llm.digest_index import deduplicate, new_index
 from tallyforge.llm.queries import ORACLE_SQL, QUERIES
@@ -374,3 +386,28 @@ def test_query_covers_the_table(spark, docs, name):
         assert sorted(r.doc_id for r in got.select("doc_id").collect()) == sorted(r.doc_id for r in docs.collect())
     else:
         assert got.count() > 0
+
+
+def test_words_do_not_depend_on_the_block(monkeypatch):
+    texts = pa.array(["One two  three four five six", "", None, "x" * 70 + " é ü", "a\tb\nc d e f g h i"])
+    piece = next(corpus.text_pieces(texts))
+    whole = corpus.byte_words(piece)
+    monkeypatch.setattr(corpus, "BLOCK_WORDS", 2)
+    assert all(np.array_equal(a, b) for a, b in zip(whole, corpus.byte_words(piece), strict=True))
+
+
+def test_dedup_keeps_a_column_named_row(spark):
+    rows = spark.createDataFrame([(1, "a", 7), (2, "a", 8), (3, None, 9)], "doc_id long, text string, row int")
+    assert sorted((r.doc_id, r.row) for r in deduplicate(rows).collect()) == [(2, 8), (3, 9)]
+
+
+def test_small_batches_keep_a_smaller_setting(spark):
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, 10)
+    corpus.small_batches(spark)
+    assert spark.conf.get(setting) == "10"
+    spark.conf.set(setting, 5000)
+    corpus.small_batches(spark)
+    assert spark.conf.get(setting) == str(corpus.BATCH_ROWS)
+    spark.conf.set(setting, before)
