@@ -1,26 +1,34 @@
 """Licence scan by conditional compression.
 
-Lines that mention licensing are joined with neighbouring ones to candidate blocks. A block is compressed alone and with
-each licence notice as zstandard raw dictionary; the notices are ranked by how much they shrink it. The winner is confirmed
-by its wording: the words of its notice must stand in the block in order, nearly all of them, and those that tell it from
-the other notices must all be there. Differences are reported.
+Each word that mentions licensing is a cue. Around it, as far as the longest notice reaches on both sides, every notice is
+looked for by its wording: its words must stand there in order, nearly all of them and close together, and those that tell
+it from the other notices must all be there. Every notice found is reported, also several in one line, unless its words
+are part of a longer one (the two-clause text in the three-clause one). Its block is compressed alone and with each notice
+as zstandard raw dictionary, which tells by how much it shrinks it and which notice comes next. Lines with cues that belong
+to no notice are reported unconfirmed with the notice that shrinks them most. Differences are reported.
 
-Blocks are found in whole texts in the task that reads them; equal blocks are scored once and remembered, up to a bound.
+Texts are read whole in the task that has them; equal blocks are scored once and remembered, up to a bound.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from difflib import SequenceMatcher
+from importlib.resources import files
 
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Notices of public licences, as their authors ask to state them.
+# Notices of public licences, as their authors ask to state them, and whole texts.
+WHOLE_TEXTS = (
+    "MIT", "BSD-2-Clause", "BSD-3-Clause", "BSD-4-Clause", "ISC", "0BSD", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1",
+    "LGPL-3.0", "MPL-2.0", "CC0-1.0",
+)
 NOTICES = {
     "MIT": "Released under the MIT License.",
     "MIT-text": (
@@ -32,7 +40,8 @@ NOTICES = {
         "you may not use this file except in compliance with the License. You may obtain a copy of the License at"
         " http://www.apache.org/licenses/LICENSE-2.0"
     ),
-    "BSD-3-Clause": (
+    # The opening alone does not tell the number of clauses.
+    "BSD-opening": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that"
         " the following conditions are met"
     ),
@@ -49,10 +58,22 @@ NOTICES = {
     "CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0.",
     "all-rights-reserved": "All rights reserved.",
 }
-CUES = ("licen", "copyright", "all rights reserved", "permission is hereby", "redistribution and use", "cc by", "cc0", "spdx")
-# Characters kept around a cue in a longer line; share of the notice's words that must stand in the block in order.
-AROUND, LEAST_WORDS = 400, 0.85
-REMEMBERED = 100_000
+NOTICES |= {f"{n}-whole": files("tallyforge.llm.licence_texts").joinpath(f"{n}.txt").read_text("utf-8") for n in WHOLE_TEXTS}
+CUES = (
+    "licen", "copyright", "all rights reserved", "permission is hereby", "permission to use", "redistribution and use", "cc by",
+    "cc0", "spdx",
+)
+# Words of a cue may stand on two lines, with the marks of a comment between.
+_CUE = re.compile("|".join(cue.replace(" ", r"[\W_]+") for cue in CUES), re.IGNORECASE)
+_CUE_HEADS = sorted({cue.split(" ")[0] for cue in CUES})
+# Share of the notice's words that must stand in the block in order.
+LEAST_WORDS = 0.85
+# Words of a whole text; share of its words that another one must have to be told from it word by word.
+WHOLE_WORDS, ALIKE = 60, 0.75
+# Characters of a text whose words are held at once, beside what a notice reaches.
+PART_CHARS = 1 << 18
+# Blocks remembered, and their longest.
+REMEMBERED, REMEMBERED_CHARS = 100_000, 2000
 _WORD = re.compile(r"[\w]+(?:[.\-][\w]+)*")
 
 
@@ -71,6 +92,19 @@ class Verdict:
     confirmed: bool
 
 
+@dataclass(frozen=True)
+class Found:
+    """A notice in a text: its place in characters, and the places of its words."""
+
+    name: str
+    start: int
+    end: int
+    places: frozenset[int]
+    agreement: float
+    missing: list[str]
+    added: list[str]
+
+
 class NoticeRanker:
     """Notices as raw dictionaries, and the words that tell each from the others like it."""
 
@@ -80,69 +114,164 @@ class NoticeRanker:
         self.given = {}
         for name, text in notices.items():
             notice = zstandard.ZstdCompressionDict(text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            notice.precompute_compress(level=9)
             self.given[name] = zstandard.ZstdCompressor(level=9, dict_data=notice, write_content_size=False, write_dict_id=False)
-        common = set.intersection(*map(set, self.words.values())) if self.words else set()
-        self.telling = {
-            name: {w for w in own if w not in common and sum(w in other for other in self.words.values()) <= len(notices) // 3}
-            for name, own in self.words.items()
-        }
-        self.known: dict[str, Verdict] = {}
-
-    def judge(self, block: str) -> Verdict:
+        self.bags = {name: Counter(own) for name, own in self.words.items()}
+        short = [set(own) for own in self.words.values() if len(own) <= WHOLE_WORDS]
+        common = set.intersection(*short) if short else set()
+        self.telling = {}
+        for name, own in self.words.items():
+            if len(own) <= WHOLE_WORDS:
+                rare = {w for w in own if w not in common and sum(w in other for other in short) <= len(short) // 3}
+            else:
+                alike = [
+                    bag
+                    for other, bag in self.bags.items()
+                    if other != name and (self.bags[name] & bag).total() >= ALIKE * len(own)
+                ]
+                rare = {w for bag in alike for w in own if w not in bag}
+            self.telling[name] = rare
+        # Twice the longest notice: line marks and words between its own may spread it.
+        self.reach = max([400, *(2 * len(text) for text in notices.values())])
+        own_cues = [w for name, text in notices.items() if not _CUE.search(text) for w in self._any_of(name, self.bags[name])]
+        self.own_cues = re.compile(rf"\b(?:{'|'.join(map(re.escape, sorted(set(own_cues))))})\b", re.IGNORECASE) if own_cues else None
+        self.known: dict[str, tuple[int, list[tuple[int, str]]]] = {}
+        self.judged: dict[str, Verdict] = {}
+
+    def _any_of(self, name: str, bag: Counter) -> list[str]:
+        """Words of the notice of which one at least stands wherever it is confirmed; the rarest by ``bag``."""
+        own = self.words[name]
+        if self.telling[name]:
+            return [min(sorted(self.telling[name]), key=lambda w: bag[w])]
+        lost = int(len(own) * (1 - LEAST_WORDS) + 1e-9)
+        return sorted(set(sorted(own, key=lambda w: (bag[w], w))[: lost + 1]))
+
+    def ranked(self, block: str) -> tuple[int, list[tuple[int, str]]]:
+        """Compressed size of the block, and with each notice, smallest first."""
+        if block in self.known:
+            return self.known[block]
+        data = block.encode("utf-8", "replace")
+        out = len(self.plain.compress(data)), sorted((len(c.compress(data)), name) for name, c in self.given.items())
         if len(self.known) >= REMEMBERED:
             self.known.clear()
-        if block not in self.known:
-            self.known[block] = self._judge(block)
-        return self.known[block]
-
-    def _judge(self, block: str) -> Verdict:
-        data = block.encode()
-        alone = len(self.plain.compress(data))
-        ranked = sorted((len(c.compress(data)), name) for name, c in self.given.items())
+        if len(block) <= REMEMBERED_CHARS:
+            self.known[block] = out
+        return out
+
+    def scan(self, text: str) -> list[tuple[int, str, Verdict]]:
+        """Place, block and verdict of every notice in the text, and of every run of lines with cues outside of them."""
+        lowered = text.lower()
+        cues = [m.span() for m in _CUE.finditer(text)] if any(head in lowered for head in _CUE_HEADS) else []
+        # Words of notices without a cue only say where to look.
+        places = cues + [m.span() for m in self.own_cues.finditer(text)] if self.own_cues else cues
+        found = []
+        for start, end in _merged([(max(0, a - self.reach), min(len(text), b + self.reach)) for a, b in places]):
+            for part in range(start, end, PART_CHARS):
+                found += self._notices(text, part, min(end, part + PART_CHARS + 2 * self.reach))
+        out = []
+        kept = _without_parts(found)
+        for f in kept:
+            block = text[f.start : f.end]
+            alone, ranked = self.ranked(block)
+            second = next((other for _, other in ranked if other != f.name), "")
+            size = next(size for size, other in ranked if other == f.name)
+            out.append((f.start, block, Verdict(f.name, 1 - size / alone, second, f.agreement, f.missing, f.added, True)))
+        spans = _merged([(f.start, f.end) for f in kept])
+        free = [c for c in cues if not any(a < c[1] and c[0] < b for a, b in spans)]
+        for start, end in _merged([self._lines(text, a, b, spans) for a, b in free]):
+            block = text[start:end]
+            out.append((start, block, self._nearest(block)))
+        return sorted(out, key=lambda row: (row[0], row[2].licence))
+
+    def _lines(self, text: str, first: int, last: int, spans: list[tuple[int, int]]) -> tuple[int, int]:
+        """Lines of a cue with the break behind them, as far as a notice reaches and outside of the spans."""
+        start = max(text.rfind("\n", 0, first) + 1, first - self.reach, *(b for _, b in spans if b <= first), 0)
+        end = text.find("\n", last)
+        end = len(text) if end < 0 else end
+        return start, min(end, last + self.reach, *(a for a, _ in spans if a >= last), len(text))
+
+    def _nearest(self, block: str) -> Verdict:
+        if block in self.judged:
+            return self.judged[block]
+        alone, ranked = self.ranked(block)
         # The best by compression, then notices within a byte of it, by wording.
         near = [name for size, name in ranked if size <= ranked[0][0] + 1]
-        found = words_of(block)
-        compared = [(*self._compare(name, found), name) for name in near]
+        words = words_of(block)
+        compared = [(*self._compare(name, words)[:3], name) for name in near]
         agreement, missing, added, name = min(compared, key=lambda c: (-c[0], len(c[2]), c[3]))
-        confirmed = agreement >= LEAST_WORDS and not self.telling[name] & set(missing)
         second = next((other for _, other in ranked if other != name), "")
         size = next(size for size, other in ranked if other == name)
-        return Verdict(name, 1 - size / alone, second, agreement, missing, added, confirmed)
+        out = Verdict(name, 1 - size / alone, second, agreement, missing, added, False)
+        if len(self.judged) >= REMEMBERED:
+            self.judged.clear()
+        if len(block) <= REMEMBERED_CHARS:
+            self.judged[block] = out
+        return out
+
+    def _notices(self, text: str, start: int, end: int) -> list[Found]:
+        """All notices confirmed in a part of a text."""
+        matches = [m.span() for m in _WORD.finditer(text, start, end)]
+        words = [text[a:b].lower() for a, b in matches]
+        bag, at, out = Counter(words), defaultdict(list), []
+        for k, word in enumerate(words):
+            at[word].append(k)
+        for name, own in self.words.items():
+            if not self.telling[name] <= bag.keys() or (self.bags[name] & bag).total() < LEAST_WORDS * len(own):
+                continue
+            slack, used = len(own) // 2 + 12, set()
+            anchors = set(self._any_of(name, bag))
+            pairs = [(p, a) for a, word in enumerate(own) if word in anchors for p in at[word]]
+            for p, a in sorted(pairs):
+                if p in used:
+                    continue
+                low, high = max(0, p - a - slack), p + len(own) - a + slack
+                near = Counter(words[low:high])
+                if not self.telling[name] <= near.keys() or (self.bags[name] & near).total() < LEAST_WORDS * len(own):
+                    continue
+                agreement, missing, added, places = self._compare(name, words[low:high])
+                if agreement < LEAST_WORDS or not self.telling[name] <= {words[low + k] for k in places}:
+                    continue
+                places = [low + k for k in places]
+                used.update(places)
+                span = matches[places[0]][0], matches[places[-1]][1]
+                out.append(Found(name, *span, frozenset(matches[k][0] for k in places), agreement, missing, added))
+        return out
 
-    def _compare(self, name: str, found: list[str]) -> tuple[float, list[str], list[str]]:
-        """Share of the notice's words in the block in order, words missing, words added between them."""
+    def _compare(self, name: str, found: list[str]) -> tuple[float, list[str], list[str], list[int]]:
+        """Share of the notice's words in the block in order, words missing, words added between them, places of its words."""
         own = self.words[name]
-        blocks = SequenceMatcher(None, own, found, autojunk=False).get_matching_blocks()
+        # In whole texts of thousands of words a run is not begun at the commonest words, only continued over them.
+        blocks = SequenceMatcher(None, own, found, autojunk=len(own) > 1000).get_matching_blocks()
         kept = sum(b.size for b in blocks)
-        missing, added, at = [], [], None
+        missing, added, places, at = [], [], [], None
         for a, b, size in blocks:
             missing += own[0 if at is None else at[0] : a]
             if at is not None and a < len(own):
                 added += found[at[1] : b]
             at = a + size, b + size
-        return kept / len(own), missing, added
-
-
-def candidate_blocks(text: str) -> list[tuple[int, str]]:
-    """Place and text of each run of neighbouring lines with a cue; of a long line the part around its cues."""
-    lowered = text.lower()
-    if not any(cue in lowered for cue in CUES):
-        return []
-    if len(lowered) != len(text):
-        # Some letters grow in lower case; keep places those of the text.
-        lowered = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
-    places = sorted({m.start() for cue in CUES for m in re.finditer(re.escape(cue), lowered)})
-    out: list[list[int]] = []
-    for place in places:
-        start = text.rfind("\n", 0, place) + 1
-        end = text.find("\n", place)
-        end = len(text) if end < 0 else end
-        start, end = max(start, place - AROUND), min(end, place + AROUND)
+            places += range(b, b + size)
+        return kept / max(1, len(own)), missing, added, places
+
+
+def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans that overlap or touch with one character between, as one."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(spans):
         if out and start <= out[-1][1] + 1:
-            out[-1][1] = max(out[-1][1], end)
+            out[-1] = out[-1][0], max(out[-1][1], end)
         else:
-            out.append([start, end])
-    return [(start, text[start:end]) for start, end in out]
+            out.append((start, end))
+    return out
+
+
+def _without_parts(found: list[Found]) -> list[Found]:
+    """One of equal finds, none whose words are nearly all those of a longer one."""
+    kept: list[Found] = []
+    for f in sorted(found, key=lambda f: (-len(f.places), -f.agreement, f.name, f.start)):
+        near = [other for other in kept if other.start < f.end and f.start < other.end]
+        if not any(len(f.places & other.places) >= LEAST_WORDS * len(f.places) for other in near):
+            kept.append(f)
+    return kept
 
 
 SCHEMA = (
@@ -152,9 +281,10 @@ SCHEMA = (
 
 
 def scan(docs: DataFrame, notices: dict[str, str] = NOTICES) -> DataFrame:
-    """One row for each candidate block of each row of ``docs``; see ``SCHEMA``.
+    """One row for each notice, and each run of other lines with cues, of each row of ``docs``; see ``SCHEMA``.
 
-    start is the block's place in the text in characters. Null and empty texts and texts without a cue give no row;
+    start is the block's place in the text in characters: a confirmed block begins with the first word of the notice and
+    ends with its last, and other blocks are lines. Null and empty texts and texts without a cue give no row;
     repeated rows give repeated rows; a null id stays null; of equally good notices the first by name wins; other
     columns are not read.
     """
@@ -168,8 +298,7 @@ def scan(docs: DataFrame, notices: dict[str, str] = NOTICES) -> DataFrame:
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-                for start, block in candidate_blocks(text.as_py() or ""):
-                    v = ranker.judge(block)
+                for start, block, v in ranker.scan(text.as_py() or ""):
                     rows.append((doc_id.as_py(), start, block, v.licence, v.reduction, v.runner_up, v.agreement,
                                  v.missing, v.added, v.confirmed))
             columns = list(zip(*rows, strict=True)) if rows else [[] for _ in names]

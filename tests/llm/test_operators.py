@@ -411,3 +411,36 @@ def test_small_batches_keep_a_smaller_setting(spark):
     corpus.small_batches(spark)
     assert spark.conf.get(setting) == str(corpus.BATCH_ROWS)
     spark.conf.set(setting, before)
+
+
+def test_wrapped_whole_and_neighbouring_licences(make):
+    import textwrap
+
+    whole = lambda name: licences.NOTICES[f"{name}-whole"]
+    wrap = lambda text, mark="": "\n".join(mark + line for line in textwrap.wrap(text, 60))
+    mpl = "/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy was not given */"
+    texts = {
+        1: ("code\n\n" + wrap(licences.NOTICES["MIT-text"], "# ") + "\nmore", {"MIT-text"}),
+        2: (wrap(licences.NOTICES["BSD-opening"]), {"BSD-opening"}),
+        3: ("x\n" + mpl, {"MPL-2.0"}),
+        4: ("Released under the MIT License. Licensed under the Apache License, Version 2.0.", {"MIT", "Apache-2.0"}),
+        5: ("Released under the MIT License.\nLicensed under the Apache License, Version 2.0.", {"MIT", "Apache-2.0"}),
+        6: ("words " * 300 + wrap(whole("BSD-2-Clause"), " * ") + " words" * 300, {"BSD-2-Clause-whole"}),
+        7: (wrap(whole("BSD-3-Clause")), {"BSD-3-Clause-whole"}),
+        8: (wrap(whole("BSD-4-Clause")), {"BSD-4-Clause-whole"}),
+        9: (whole("0BSD") + "\n\n" + wrap(whole("ISC"), "// "), {"0BSD-whole", "ISC-whole"}),
+        10: (whole("MIT"), {"MIT-whole"}),
+        11: ("Licensed under CC BY-SA 4.0 or CC BY 4.0.", {"CC-BY-SA-4.0", "CC-BY-4.0"}),
+        12: (whole("GPL-3.0"), {"GPL-3.0-whole"}),
+        13: ("This work is licensed under the GNU Lesser General Public License, version 3.", {"LGPL-3.0"}),
+        14: ("under a licence of the kind", set()),
+    }
+    got = collections.defaultdict(set)
+    rows = [(k, t) for k, (t, _) in texts.items()]
+    for r in licences.scan(make(rows, "doc_id long, text string")).collect():
+        got[r.doc_id] |= {r.licence} if r.confirmed else set()
+        assert texts[r.doc_id][0][r.start : r.start + len(r.block)] == r.block
+    assert {k: got[k] for k in texts} == {k: want for k, (_, want) in texts.items()}
+    long = " ".join(f"term{k}" for k in range(400))
+    found = licences.NoticeRanker({"own": long, "other": "copyright by nobody at all"}).scan(f"a {long} z")
+    assert [(start, v.licence, v.confirmed) for start, _, v in found] == [(2, "own", True)]
