@@ -1,13 +1,17 @@
 """Benchmark decontamination by canonical templates.
 
 Numbers, names and units become typed placeholders, the other words lose their case, punctuation goes. Runs of ``SPAN``
-template tokens with enough literal words are the windows. Windows of documents and benchmark items meet in a hash join;
+template tokens are the windows; one with too few literal words keeps its exact values. Windows of documents and benchmark items meet in a hash join;
 before it, windows that no item has are dropped in the task by a fixed-size bit set. For each document and item, on each
 alignment, the values behind equal placeholders are compared: a re-parameterised question replaces each value by one
 other throughout, so every value of the item must go with one value of the document.
 
-A document is contaminated by an item if it has at least half of the item's windows, or a long run of them, and the
-slots are consistent.
+A capitalised word that opens a sentence may be a name or not, and a copy may stand in other letters or behind other words.
+So names are read three ways on both sides: as the text has them, openings as names too, and no name at all. Openings of
+both sides are not exchanged for each other, or any two questions would begin alike.
+
+A document is contaminated by an item if it has at least half of the item's windows, or of those with enough literal words,
+or a long run of them, and the slots are consistent.
 """
 
 from __future__ import annotations
@@ -46,6 +50,8 @@ _LOWERCASE[[*b"abcdefghijklmnopqrstuvwxyz", *range(0x80, 0x100)]] = True
 _STOP[[*b".!?\n:\""]] = True
 # Codes of the placeholders.
 NUMBER, NAME, UNIT = (np.uint64(k) for k in (11, 12, 13))
+# Marks of keys: templates, templates for documents whose openings are names, exact values.
+PLAIN, OPENED, EXACT = (np.uint64(k) for k in (0, 1 << 20, 1 << 21))
 
 
 def _codes_of(text: str) -> np.ndarray:
@@ -56,8 +62,11 @@ def _codes_of(text: str) -> np.ndarray:
 _NUMBER_CODES, _UNIT_CODES = _codes_of(NUMBER_WORDS), _codes_of(UNIT_WORDS)
 
 
-def canonical(piece: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Template codes, original codes and slot marks of the tokens of a piece, and bounds of the texts."""
+def canonical(piece: Piece) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray, np.ndarray]:
+    """Template codes and slot marks of the tokens of a piece, original codes, and bounds of the texts.
+
+    Templates and marks are given for names as written, with openings as names, and without names.
+    """
     data = piece.data.copy()
     if len(data) > 2:
         # Points and commas between digits belong to the number; Latin capitals of two bytes lose their case.
@@ -68,7 +77,7 @@ def canonical(piece: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     found = byte_words(Piece(piece.first, piece.last, data, piece.offsets), between=_BETWEEN)
     codes, starts = found.codes, found.starts
     if not len(codes):
-        return codes, codes, np.empty(0, bool), found.bounds
+        return [(codes, np.empty(0, bool))] * 3, codes, found.bounds
     ends = starts + found.lengths
     stops = np.concatenate([[0], np.cumsum(_STOP[piece.data])])
     opening = np.zeros(len(codes), dtype=bool)
@@ -78,86 +87,122 @@ def canonical(piece: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     number = _DIGIT[data[starts]] | np.isin(codes, _NUMBER_CODES)
     unit = np.isin(codes, _UNIT_CODES)
     second = _LOWERCASE[data[np.minimum(starts + 1, len(data) - 1)]] & (found.lengths > 1)
-    name = _UPPER[data[starts]] & second & ~opening & ~number & ~unit
-    slot = number | unit | name
-    template = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, codes)))
-    return template, codes, slot, found.bounds
+    capital = _UPPER[data[starts]] & second & ~number & ~unit
+    readings = []
+    for name in (capital & ~opening, capital, np.zeros(len(codes), dtype=bool)):
+        template = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, codes)))
+        readings.append((template, number | unit | name))
+    return readings, codes, found.bounds
 
 
-def _windows(spans: list[int], keep: np.ndarray | None, whole_when_short: bool):
-    """Rows (id, position, key, slots, span) of the windows of each text; ``keep``: bit set of the wanted keys."""
+def _windows(spans: list[int], keep: np.ndarray | None, of_items: bool):
+    """Rows (id, position, key, slots, span, dense) of the windows of each text; ``keep``: bit set of the wanted keys.
+
+    Items have keys that their documents may have; a window of an item with too many slots is dense and has an exact key.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in text_pieces(batch.column(1)):
-                template, codes, slot, bounds = canonical(piece)
+                readings, codes, bounds = canonical(piece)
                 owners = np.repeat(np.arange(piece.last - piece.first), np.diff(bounds))
-                filled = np.concatenate([[0], np.cumsum(slot)])
+                written, named, plain = readings
+                filled = np.concatenate([[0], np.cumsum(written[1])])
+                none = np.zeros(len(codes), dtype=bool)
+                if of_items:
+                    ways = [(written, PLAIN), (written, OPENED), (named, PLAIN), (plain, PLAIN)]
+                else:
+                    ways = [(written, PLAIN), (named, OPENED), (plain, PLAIN)]
+                ways.append(((codes, none), EXACT))
                 for span in spans:
                     count = len(codes) - span + 1
                     if count <= 0:
                         continue
-                    at = np.arange(count)
-                    usable = owners[span - 1 :] == owners[:count]
-                    usable &= filled[span:] - filled[:count] <= min(MOST_SLOTS, span // 2)
-                    if whole_when_short and span < SPAN:
-                        usable &= np.diff(bounds)[owners[:count]] == span
-                    keys = mix(window_codes(template, span) + np.uint64(span))
-                    if keep is not None:
-                        usable &= keep[(keys % np.uint64(FILTER_BITS)).astype(np.int64)]
-                    at = at[usable]
-                    slots = [codes[p : p + span][slot[p : p + span]].view(np.int64).tolist() for p in at.tolist()]
-                    row = owners[at]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            batch.column(0).take(pa.array(piece.first + row)),
-                            pa.array(at - bounds[row], pa.int32()),
-                            pa.array(keys[at].view(np.int64)),
-                            pa.array(slots, pa.list_(pa.int64())),
-                            pa.array(np.full(len(at), span), pa.int32()),
-                        ],
-                        ["id", "position", "key", "slots", "span"],
-                    )
+                    inside = owners[span - 1 :] == owners[:count]
+                    dense = filled[span:] - filled[:count] > min(MOST_SLOTS, span // 2)
+                    if of_items and span < SPAN:
+                        inside &= np.diff(bounds)[owners[:count]] == span
+                    first = None
+                    for (template, slot), mark in ways:
+                        keys = mix(window_codes(template, span) + np.uint64(span) + mark)
+                        usable = inside.copy()
+                        if of_items:
+                            # An opening read as a name may be one slot more, but not most of the window.
+                            held = np.concatenate([[0], np.cumsum(slot)])
+                            usable &= (dense == (mark == EXACT)) & (held[span:] - held[:count] <= span // 2)
+                        if keep is not None:
+                            usable &= keep[(keys % np.uint64(FILTER_BITS)).astype(np.int64)]
+                        if first is None:
+                            first = keys
+                        else:
+                            usable &= keys != first
+                        at = np.flatnonzero(usable)
+                        slots = [codes[p : p + span][slot[p : p + span]].view(np.int64).tolist() for p in at.tolist()]
+                        row = owners[at]
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                batch.column(0).take(pa.array(piece.first + row)),
+                                pa.array(at - bounds[row], pa.int32()),
+                                pa.array(keys[at].view(np.int64)),
+                                pa.array(slots, pa.list_(pa.int64())),
+                                pa.array(np.full(len(at), span), pa.int32()),
+                                pa.array(dense[at]),
+                            ],
+                            ["id", "position", "key", "slots", "span", "dense"],
+                        )
 
     return run
 
 
-_SCHEMA = "id long, position int, key long, slots array<long>, span int"
+_SCHEMA = "id long, position int, key long, slots array<long>, span int, dense boolean"
 
 
 def contaminated_pairs(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, matched, windows, coverage, consistency) of every document that an item contaminates.
 
-    Null or empty texts and texts whose windows are all slots match nothing; an item shorter than a window is one window.
+    Null or empty texts match nothing; an item shorter than a window is one window, also of one word or of slots alone. Windows
+    with more than ``MOST_SLOTS`` slots, or half of a short one, are found only with equal values. coverage is the share of
+    all windows or of the others, whichever is greater. A copy with other names is not found by a window in which both an
+    opening of the item and an opening of the document stand for names elsewhere.
     Rows without id cannot be named and are left out; rows that repeat an id count as one document. An empty table on
     either side gives no row; columns other than ids and text are not read.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("id"), "text").where("id IS NOT NULL")
-    asked = stored(items.mapInArrow(_windows(list(range(2, SPAN + 1)), None, True), _SCHEMA), "template-items")
+    asked = stored(items.mapInArrow(_windows(list(range(1, SPAN + 1)), None, True), _SCHEMA), "template-items")
     spans = sorted(r["span"] for r in asked.select("span").distinct().collect())
     asked = asked.select(
-        F.col("id").alias("item_id"), F.col("position").alias("item_position"), "key", F.col("slots").alias("item_slots")
-    )
+        F.col("id").alias("item_id"), F.col("position").alias("item_position"), "key", F.col("slots").alias("item_slots"),
+        "dense",
+    )
     # At most FILTER_BITS numbers.
     bits = asked.select((F.pmod(F.col("key"), F.lit(FILTER_BITS))).cast("int").alias("b")).distinct().toArrow().to_pandas()["b"]
     keep = np.zeros(FILTER_BITS, dtype=bool)
     keep[bits.to_numpy(np.int64)] = True
-    totals = asked.groupBy("item_id").agg(F.countDistinct("item_position").alias("windows"))
+    literal = F.when(~F.col("dense"), F.col("item_position"))
+    totals = asked.groupBy("item_id").agg(
+        F.countDistinct("item_position").alias("windows"), F.countDistinct(literal).alias("literal_windows")
+    )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), "text").where("id IS NOT NULL")
-    met = rows.mapInArrow(_windows(spans, keep, False), _SCHEMA).drop("span")
+    met = rows.mapInArrow(_windows(spans, keep, False), _SCHEMA).drop("span", "dense")
     met = met.join(asked, "key").withColumn("shift", F.col("position") - F.col("item_position"))
     slots = F.filter(F.arrays_zip("item_slots", "slots"), lambda pair: pair["item_slots"].isNotNull())
     lines = met.groupBy("id", "item_id", "shift").agg(
-        F.collect_set("item_position").alias("positions"), F.array_distinct(F.flatten(F.collect_set(slots))).alias("pairs")
+        F.collect_set("item_position").alias("positions"),
+        F.collect_set(literal).alias("literal"),
+        F.array_distinct(F.flatten(F.collect_set(slots))).alias("pairs")
     )
     values = F.size(F.array_distinct(F.col("pairs.item_slots")))
     lines = lines.withColumn("consistent", F.when(F.size("pairs") > 0, values / F.size("pairs")).otherwise(1.0))
     both = lines.groupBy("id", "item_id").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("positions")))).alias("matched"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("literal")))).alias("literal"),
         (F.sum(F.col("consistent") * F.size("positions")) / F.sum(F.size("positions"))).alias("consistency"),
     )
-    both = both.join(totals, "item_id").withColumn("coverage", F.col("matched") / F.col("windows"))
+    both = both.join(totals, "item_id")
+    # Of an item whose windows are all dense the second share is null, and greatest() passes over it.
+    shares = F.col("matched") / F.col("windows"), F.try_divide("literal", "literal_windows")
+    both = both.withColumn("coverage", F.greatest(*shares))
     enough = (F.col("coverage") >= LEAST_COVERAGE) | (F.col("matched") >= LONG_RUN)
     return both.where(enough & (F.col("consistency") >= LEAST_CONSISTENT)).select(
         F.col("id").alias("doc_id"), "item_id", "matched", "windows", "coverage", "consistency"

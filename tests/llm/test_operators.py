@@ -444,3 +444,16 @@ def test_wrapped_whole_and_neighbouring_licences(make):
     long = " ".join(f"term{k}" for k in range(400))
     found = licences.NoticeRanker({"own": long, "other": "copyright by nobody at all"}).scan(f"a {long} z")
     assert [(start, v.licence, v.confirmed) for start, _, v in found] == [(2, "own", True)]
+
+
+def test_slot_dense_short_and_capitalised_items(make):
+    items = [
+        "What is 12 + 7 - 3 * 2 / 5?", "Compute 17 * 24 + 3 - 8.", "Convert 5 miles 3 yards 2 feet to inches.",
+        "Which is larger, 3 km 20 m or 2 miles 5 yards?", "Photosynthesis", "Boston is older", "How green are Swiss valleys",
+    ]
+    rows = [(k, f"we were asked {text} and so on") for k, text in enumerate(items)]
+    rows += [(10 + k, f"before: {text.lower()} behind") for k, text in enumerate(items)]
+    rows += [(20, "Compute 18 * 25 + 4 - 9."), (21, "What is 13 + 8 - 4 * 3 / 6?"), (22, "So green are Swiss valleys"), (23, "we know that Paris is older")]
+    bench = make(list(enumerate(items)), "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in templates.contaminated_pairs(make(rows, "doc_id long, text string"), bench).collect()}
+    assert found == {(d + k, k) for k in range(len(items)) for d in (0, 10)} | {(23, 5)}
