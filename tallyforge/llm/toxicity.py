@@ -2,10 +2,12 @@
 
 Lexicon: words whose share of toxic texts, among the labelled texts that have them, is high with confidence. A word of a
 text hits a term when it is the term or a misspelling of it: the automaton of all strings within the term's distance
-(one edit from five letters, two from nine) is intersected with the trie of the lexicon, so that a branch ends as soon
+(one edit, two from nine letters, none where clean texts have words that near) is intersected with the trie of the lexicon, so that a branch ends as soon
 as no continuation can be near. Each distinct word is intersected once and remembered by the task, up to a bound; the
 sets of letters of word and terms rule out most words before.
 
+Words with signs but no blank between them are also tested joined, so that signs in a word do not hide it.
+
 A hit counts by its context window: less where it stands in quotation marks or is reported, more where someone is
 addressed. The sums of a text go through a logistic function fitted to the labels.
 
@@ -24,12 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm.corpus import LOWER, byte_words, documents, fold, stored, text_pieces, word_bytes
+from tallyforge.llm.corpus import LOWER, SPACE, byte_words, documents, fold, stored, text_pieces, word_bytes
 
 SAMPLE = 20_000
-# A term: least share of the toxic texts that have it, least lower confidence limit of the share of toxic texts among
-# those that have it; most terms kept.
-LEAST_PART, LEAST_SHARE, CONFIDENCE_Z, MOST_TERMS = 0.02, 0.5, 3.0, 500
+# A term: fewest toxic texts that have it, least lower confidence limit of the share of toxic texts among those that have
+# it. The sample bounds the number of terms.
+LEAST_TEXTS, LEAST_SHARE, CONFIDENCE_Z = 5, 0.5, 3.0
 # A term allows no edits if clean texts have its neighbours more often than this share of the term's own texts.
 CLEAN_NEIGHBOURS = 0.05
 # Context: bytes on each side; factors of a hit that is quoted or reported, and of one that addresses someone.
@@ -39,6 +41,8 @@ MISSPELLED = 0.8
 REPORTING = {b"said", b"says", b"wrote", b"called", b"quote", b"quoted", b"word", b"term", b"slur"}
 ADDRESSING = {b"you", b"your", b"youre", b"ur", b"u"}
 REMEMBERED = 1_000_000
+# Joined words of the sample that are counted, so that clean ones forbid edits: their longest.
+JOINED_BYTES = 32
 FEATURES = 3
 
 # Words here are runs of letters and digits; bytes above 0x7F are letters.
@@ -49,7 +53,7 @@ _LETTER_BIT = np.array([1 << (b % 64) for b in range(256)], dtype=np.uint64)[LOW
 
 
 def edits_allowed(term: bytes) -> int:
-    return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
+    return 1 if len(term) < 9 else 2
 
 
 @dataclass
@@ -80,6 +84,7 @@ class Lexicon:
         )
         self.lengths = np.array([len(t) for t in self.terms], dtype=np.int64)
         self.found: dict[int, int] = {}
+        self.joined: dict[bytes, int] = {}
 
     def hits(self, word: bytes) -> list[tuple[int, int]]:
         """Distance and place of every term that allows the distance to ``word``.
@@ -135,6 +140,58 @@ class Lexicon:
         return out[inverse]
 
 
+def joined_runs(piece, words, longest: int) -> Iterator[tuple[int, np.ndarray]]:
+    """First words of the runs of ``parts`` words with signs but no blank between them, up to ``longest`` bytes in all."""
+    if len(words.starts) < 2:
+        return
+    ends = words.starts + words.lengths
+    blanks = np.concatenate([[0], np.cumsum(SPACE[piece.data])])
+    linked = blanks[words.starts[1:]] == blanks[ends[:-1]]
+    heads = words.bounds[1:-1]
+    linked[heads[(heads > 0) & (heads < len(words.starts))] - 1] = False
+    size = np.concatenate([[0], np.cumsum(words.lengths)])
+    at, parts = np.flatnonzero(linked), 2
+    while len(at):
+        at = at[size[at + parts] - size[at] <= longest]
+        yield parts, at
+        at = at[at + parts - 1 < len(linked)]
+        at = at[linked[at + parts - 1]]
+        parts += 1
+
+
+def joined_word(piece, words, first: int, parts: int) -> bytes:
+    spans = zip(words.starts[first : first + parts], words.lengths[first : first + parts], strict=True)
+    return b"".join(LOWER[piece.data[start : start + length]].tobytes() for start, length in spans)
+
+
+def joined_hits(piece, words, far: np.ndarray, lexicon: Lexicon) -> list[tuple[int, int, int]]:
+    """First word, number of words and distance of joined runs that hit a term; none shares a word with another hit."""
+    if not lexicon.terms:
+        return []
+    found = []
+    for parts, at in joined_runs(piece, words, int((lexicon.lengths + lexicon.allowed).max())):
+        at = at[np.all([far[at + k] < 0 for k in range(parts)], axis=0)]
+        lengths = np.sum([words.lengths[at + k] for k in range(parts)], axis=0)
+        for first in at[lengths >= max(1, int((lexicon.lengths - lexicon.allowed).min()))].tolist():
+            word = joined_word(piece, words, first, parts)
+            if word not in lexicon.joined:
+                if len(lexicon.joined) > REMEMBERED:
+                    lexicon.joined = {}
+                data = np.frombuffer(word, np.uint8)
+                mask = np.array([np.bitwise_or.reduce(_LETTER_BIT[data])])
+                near = lexicon.near(mask, np.array([len(word)]))[0]
+                lexicon.joined[word] = lexicon.distance(word) if near else -1
+            if lexicon.joined[word] >= 0:
+                found.append((lexicon.joined[word], -parts, first))
+    out, taken = [], set()
+    for distance, parts, first in sorted(found):
+        own = set(range(first, first - parts))
+        if not own & taken:
+            taken |= own
+            out.append((first, -parts, distance))
+    return sorted(out)
+
+
 def context_factor(before: bytes, behind: bytes) -> float:
     """How much a hit counts, from the bytes on both sides of it."""
     near = before.lower().replace(b"'", b"") + b" " + behind.lower().replace(b"'", b"")
@@ -157,13 +214,14 @@ def _features(column: pa.Array, lexicon: Lexicon) -> Iterator[tuple[int, int, np
         far = lexicon.distances(piece, words)
         rows = piece.last - piece.first
         sums = np.zeros(rows)
-        for k in np.flatnonzero(far >= 0).tolist():
-            start, end = int(words.starts[k]), int(words.starts[k] + words.lengths[k])
+        hits = [(k, 1, int(far[k])) for k in np.flatnonzero(far >= 0).tolist()]
+        for k, parts, distance in hits + joined_hits(piece, words, far, lexicon):
+            start, end = int(words.starts[k]), int(words.starts[k + parts - 1] + words.lengths[k + parts - 1])
             row = int(np.searchsorted(words.bounds, k, side="right")) - 1
             low, high = int(piece.offsets[row]), int(piece.offsets[row + 1])
             before = piece.data[max(low, start - CONTEXT_BYTES) : start].tobytes()
             behind = piece.data[end : min(high, end + CONTEXT_BYTES)].tobytes()
-            sums[row] += context_factor(before, behind) * (1 if far[k] == 0 else MISSPELLED)
+            sums[row] += context_factor(before, behind) * (1 if distance == 0 else MISSPELLED)
         count = np.diff(words.bounds)
         out = np.stack(
             [
@@ -182,12 +240,17 @@ def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         for piece in text_pieces(batch.column(0)):
             words = byte_words(piece, between=_BETWEEN)
             data = LOWER[piece.data]
+            joined = [set() for _ in range(piece.last - piece.first)]
+            for parts, at in joined_runs(piece, words, JOINED_BYTES):
+                for row, k in zip((np.searchsorted(words.bounds, at, side="right") - 1).tolist(), at.tolist(), strict=True):
+                    joined[row].add(joined_word(piece, words, k, parts).decode("utf-8", "ignore"))
             for row, (first, last) in enumerate(zip(words.bounds[:-1], words.bounds[1:], strict=True)):
                 _, at = np.unique(words.codes[first:last], return_index=True)
+                own = joined[row]
                 for k in at + first:
-                    word = data[words.starts[k] : words.starts[k] + words.lengths[k]].tobytes().decode("utf-8", "ignore")
-                    rows.append(piece.first + row)
-                    found.append(word)
+                    own.add(data[words.starts[k] : words.starts[k] + words.lengths[k]].tobytes().decode("utf-8", "ignore"))
+                rows += [piece.first + row] * len(own)
+                found += own
         labels = batch.column(1).take(pa.array(rows, pa.int64()))
         yield pa.RecordBatch.from_arrays([labels, pa.array(found, pa.string())], ["toxic", "word"])
 
@@ -197,15 +260,15 @@ def learn_terms(sample: DataFrame) -> dict[str, int]:
 
     A term whose neighbours within its edits are words of clean texts allows none.
     """
-    least = LEAST_PART * (sample.agg(F.sum("toxic")).first()[0] or 0)
     words = sample.mapInArrow(_distinct_words, "toxic int, word string")
     counts = stored(words.groupBy("word").agg(F.sum("toxic").alias("bad"), F.count("*").alias("all")), "toxicity-words")
     share, n, z = F.col("bad") / F.col("all"), F.col("all"), CONFIDENCE_Z
     middle = share + z * z / (2 * n)
     spread = z * F.sqrt((share * (1 - share) + z * z / (4 * n)) / n)
     low = (middle - spread) / (1 + z * z / n)
-    chosen = counts.where((F.col("bad") >= least) & (low >= LEAST_SHARE) & (F.length("word") >= 3))
-    chosen = chosen.orderBy(F.desc("bad"), "word").limit(MOST_TERMS).collect()
+    chosen = counts.where((F.col("bad") >= LEAST_TEXTS) & (low >= LEAST_SHARE) & (F.length("word") >= 3))
+    # Each takes LEAST_TEXTS of the sample's texts at least.
+    chosen = chosen.orderBy(F.desc("bad"), "word").collect()
     own = {r["word"]: r["all"] for r in chosen}
     terms = {word: edits_allowed(word.encode()) for word in sorted(own)}
     names = list(terms)

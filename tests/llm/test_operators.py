@@ -457,3 +457,15 @@ def test_slot_dense_short_and_capitalised_items(make):
     bench = make(list(enumerate(items)), "item_id long, text string")
     found = {(r.doc_id, r.item_id) for r in templates.contaminated_pairs(make(rows, "doc_id long, text string"), bench).collect()}
     assert found == {(d + k, k) for k in range(len(items)) for d in (0, 10)} | {(23, 5)}
+
+
+def test_rare_short_and_sign_filled_terms(make):
+    clean = [(k, f"plain text number {k} you are an ordinary one, well-known") for k in range(3000)]
+    bad = [(5000 + k, f"text {k} you are a scum idiot") for k in range(1960)] + [(8000 + k, "a rareslur here") for k in range(39)]
+    labels = make([(d, int(d >= 5000)) for d, _ in clean + bad], "doc_id long, toxic int")
+    bad = [(d, f"{t} {d}") for d, t in bad]
+    model = toxicity.train(make(clean + bad, "doc_id long, text string"), labels)
+    assert {"scum", "idiot", "rareslur"} <= set(model.terms) and model.terms["scum"] == 1
+    texts = ["a rareslur", "such scvm", "such scumm", "an id!ot", "an i.d.i.o.t", "(an id*ot)", "a well-known one", "i d i o t"]
+    got = toxicity.score(make(list(enumerate(texts)), "doc_id long, text string"), model).collect()
+    assert [r.toxicity >= 0.5 for r in sorted(got)] == [True] * 6 + [False] * 2
