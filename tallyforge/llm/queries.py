@@ -1,4 +1,4 @@
-"""Queries of the ten operators over the whole tables, and SQL for those that SQL can express."""
+"""Queries of the operators over the whole tables, and SQL for those that SQL can express."""
 
 from __future__ import annotations
 
@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import byte_gru, class_lm, jaccard_join, licences, packing, prefix_bpe, sharding, templates, toxicity
+from tallyforge.llm import (
+    aligned_pieces,
+    byte_gru,
+    class_lm,
+    jaccard_join,
+    licences,
+    packing,
+    prefix_bpe,
+    sharding,
+    templates,
+    toxicity,
+)
 from tallyforge.llm.corpus import documents
 from tallyforge.llm.digest_index import new_index
 
@@ -58,6 +69,10 @@ def op10_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_aligned_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aligned_pieces.encoded_digests(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -71,6 +86,7 @@ QUERIES: dict[str, Query] = {
         op8_size_aware_jaccard,
         op9_lexicon_toxicity,
         op10_digest_index,
+        op11_aligned_pieces,
     )
 }
 
