@@ -13,6 +13,7 @@ from tallyforge.llm import (
     class_lm,
     jaccard_join,
     licences,
+    merkle,
     packing,
     prefix_bpe,
     sharding,
@@ -73,6 +74,10 @@ def op11_aligned_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aligned_pieces.encoded_digests(documents(spark, sf_dir))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -87,6 +92,7 @@ QUERIES: dict[str, Query] = {
         op9_lexicon_toxicity,
         op10_digest_index,
         op11_aligned_pieces,
+        op12_merkle_manifest,
     )
 }
 
@@ -106,7 +112,74 @@ FROM placed JOIN owner USING (slot)"""
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"""
 
 
+def _crc32_sql(text: str) -> str:
+    """crc32 of an ASCII text; ``crc_table`` holds the table of its 256 remainders as ``entries``."""
+    codes = f"list_concat([4294967295], list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT))"
+    return f"xor(4294967295, list_reduce({codes}, lambda c, b: xor(c // 256, entries[xor(c, b) % 256 + 1])))"
+
+
+_CRC_TABLE = """crc_table AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(
+    [n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS entries
+)"""
+
+
+def _merkle_sql() -> str:
+    def row_hash(text: str) -> str:
+        values = ("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text)
+        return f"sha256({' || '.join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values)})"
+
+    def climb(name: str, leaves: str) -> str:
+        return f"""{name} AS (
+  SELECT grp, 0 AS level, idx, n, digest FROM {leaves}
+  UNION ALL
+  SELECT grp, level + 1, idx // 3, max((n + 2) // 3), sha256(string_agg(digest, '' ORDER BY idx))
+  FROM {name} WHERE n > 1 GROUP BY grp, level, idx // 3
+)"""
+
+    def folded(name: str, leaves: str, tree: str) -> str:
+        return f"""{name} AS (
+  SELECT grp, pos, 0 AS level, pos AS idx, n, digest, '' AS siblings FROM {leaves}
+  UNION ALL
+  SELECT f.grp, f.pos, f.level + 1, f.idx // 3, max((f.n + 2) // 3),
+    sha256(string_agg(CASE WHEN t.idx = f.idx THEN f.digest ELSE t.digest END, '' ORDER BY t.idx)),
+    max(f.siblings) || coalesce(string_agg(t.digest, '' ORDER BY t.idx) FILTER (t.idx <> f.idx), '')
+  FROM {name} f JOIN {tree} t ON t.grp = f.grp AND t.level = f.level AND t.idx // 3 = f.idx // 3
+  WHERE f.n > 1 GROUP BY f.grp, f.pos, f.level, f.idx
+)"""
+
+    return f"""
+WITH RECURSIVE {_CRC_TABLE},
+hashed AS (
+  SELECT doc_id, coalesce('+' || source, '') AS grp, {row_hash("text")} AS leaf,
+    CASE WHEN {_crc32_sql("doc_id::VARCHAR")} % 2 = 0 THEN {row_hash("replace(text, chr(10), '')")}
+      ELSE {row_hash("text")} END AS other
+  FROM documents, crc_table
+),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+    count(*) OVER (PARTITION BY grp) AS n, leaf AS digest
+  FROM hashed
+),
+{climb("tree", "leaves")},
+subroots AS (
+  SELECT '' AS grp, grp AS name, digest, row_number() OVER (ORDER BY grp) - 1 AS idx, count(*) OVER () AS n
+  FROM tree WHERE n = 1
+),
+{climb("top", "subroots")},
+{folded("below", "(SELECT grp, idx AS pos, n, other AS digest FROM leaves)", "tree")},
+changed AS (SELECT name AS grp, pos AS leaf_pos, b.digest, s.idx AS pos, s.n, b.siblings
+  FROM below b JOIN subroots s ON s.name = b.grp WHERE b.n = 1),
+{folded("above", "(SELECT grp || '/' || leaf_pos AS grp, pos, n, digest FROM changed)",
+        "(SELECT c.grp || '/' || c.leaf_pos AS grp, t.level, t.idx, t.digest FROM top t, changed c)")}
+SELECT l.doc_id, l.leaf, s.digest AS subroot, r.digest AS root, sha256(c.siblings || a.siblings) AS proof_sha256,
+  a.digest AS folded_root, a.digest = r.digest AS verified
+FROM leaves l JOIN subroots s ON s.name = l.grp JOIN changed c ON c.grp = l.grp AND c.leaf_pos = l.idx
+  JOIN above a ON a.grp = l.grp || '/' || l.idx AND a.n = 1, (SELECT digest FROM top WHERE n = 1) r"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op12_merkle_manifest": _merkle_sql(),
     "op2_table_sharding": _sharding_sql(),
     "op8_size_aware_jaccard": f"""
 WITH RECURSIVE split AS (SELECT doc_id, {_WORDS} AS w FROM documents),
