@@ -11,6 +11,7 @@ from tallyforge.llm import (
     aligned_pieces,
     byte_gru,
     class_lm,
+    conversations,
     jaccard_join,
     licences,
     merkle,
@@ -78,6 +79,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified(documents(spark, sf_dir))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repaired_damage(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -93,6 +98,7 @@ QUERIES: dict[str, Query] = {
         op10_digest_index,
         op11_aligned_pieces,
         op12_merkle_manifest,
+        op13_conversation_repair,
     )
 }
 
@@ -178,7 +184,82 @@ FROM leaves l JOIN subroots s ON s.name = l.grp JOIN changed c ON c.grp = l.grp
   JOIN above a ON a.grp = l.grp || '/' || l.idx AND a.n = 1, (SELECT digest FROM top WHERE n = 1) r"""
 
 
+_WHITE = r"\x20\x09-\x0D"
+
+_REPAIR_SQL = f"""
+WITH RECURSIVE {_CRC_TABLE},
+named AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') AS conv, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name
+  FROM conversations
+),
+coded AS (SELECT *, {_crc32_sql("name")} % 20 AS code FROM named, crc_table),
+damaged AS (
+  SELECT conv, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+    CASE code WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN code = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM coded WHERE code <> 0
+),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+    row_number() OVER (PARTITION BY conv, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again
+  FROM damaged
+),
+judged AS (
+  SELECT *, left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv ORDER BY i) AS before,
+    CASE WHEN NOT regexp_matches(text, '[^{_WHITE}]') THEN 'blank' WHEN again THEN 'duplicate'
+      WHEN NOT regexp_matches(text, '[.!?][{_WHITE}]*$') THEN 'truncated' ELSE '' END AS fault
+  FROM numbered
+),
+counted AS (
+  SELECT conv, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv
+),
+-- States: 0 nothing yet, 1 behind s, 2 behind u, 3 behind a.
+follow(state, role, behind) AS (VALUES (0, 'user', 2), (1, 'user', 2), (2, 'assistant', 3), (3, 'user', 2)),
+inserted AS (
+  SELECT state, 0 AS many, state AS at_state, []::VARCHAR[] AS added FROM follow
+  UNION ALL
+  SELECT i.state, many + 1, behind, list_append(added, role || ':') FROM inserted i JOIN follow f ON f.state = i.at_state
+  WHERE many < 2
+),
+moves AS (
+  SELECT state, 'D' AS edits, state AS behind, NULL::VARCHAR AS role, NULL::VARCHAR AS initial, 3 AS cost, added FROM inserted WHERE many = 0
+  UNION ALL
+  SELECT 0, 'K', 1, NULL, 's', 0, []::VARCHAR[]
+  UNION ALL
+  SELECT i.state, repeat('I', many) || kind, f.behind, CASE kind WHEN 'R' THEN f.role END,
+    CASE kind WHEN 'K' THEN left(f.role, 1) END, 2 * many + CASE kind WHEN 'R' THEN 2 ELSE 0 END, added
+  FROM inserted i JOIN follow f ON f.state = i.at_state, (VALUES ('K'), ('R')) kinds(kind)
+),
+best AS (
+  SELECT conv, 0 AS i, 0 AS state, {{'cost': 0, 'audit': '', 'made': []::VARCHAR[]}} AS way FROM counted
+  UNION ALL
+  SELECT b.conv, b.i + 1, m.behind, min({{
+    'cost': b.way.cost + m.cost + CASE WHEN fault = 'truncated' AND edits <> 'D' THEN 1 ELSE 0 END,
+    'audit': b.way.audit || m.edits,
+    'made': CASE m.edits WHEN 'D' THEN b.way.made
+      ELSE list_append(list_concat(b.way.made, m.added), coalesce(m.role, r.role) || ':' || r.text) END}})
+  FROM best b JOIN judged r ON r.conv = b.conv AND r.i = b.i + 1 JOIN moves m ON m.state = b.state
+  WHERE (m.edits = 'D' OR fault NOT IN ('blank', 'duplicate')) AND coalesce(m.initial = r.initial, true)
+  GROUP BY b.conv, b.i, m.behind
+),
+closing(state, edits, added) AS (VALUES (0, '', []), (3, '', []), (2, 'I', ['assistant:']), (1, 'II', ['user:', 'assistant:'])),
+chosen AS (
+  SELECT conv, min({{'cost': way.cost + 2 * len(edits), 'audit': way.audit || edits, 'made': list_concat(way.made, added)}}) AS way
+  FROM best JOIN counted USING (conv) JOIN closing USING (state) WHERE i = n GROUP BY conv
+)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(way.cost, 0) AS cost,
+  coalesce(way.audit, '') AS audit, sha256(coalesce(array_to_string(way.made, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, conv FROM named) LEFT JOIN counted USING (conv) LEFT JOIN chosen USING (conv)"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op13_conversation_repair": _REPAIR_SQL,
     "op12_merkle_manifest": _merkle_sql(),
     "op2_table_sharding": _sharding_sql(),
     "op8_size_aware_jaccard": f"""
