@@ -5,9 +5,9 @@ without keys copies), blanks become U+2581 and one stands before the text. Each
 original at which its character, or the replaced key, begins. Merging then runs over the normalised text, and the ends
 of the pieces are read off that alignment, so spans are bytes of the original however the text was changed.
 
-No piece has U+2581 behind another character, so the normalised text falls into segments that merge apart; distinct
-segments are merged once in a task and kept in a bounded cache. Models with byte fallback are supported: a character
-without a piece gives its bytes, the last of which holds its span.
+No piece has U+2581 behind another character, so the normalised text falls into segments that merge apart; new
+segments of a group of texts are merged together and kept in a bounded cache of the task. Models with byte fallback are
+supported: a character without a piece gives its bytes, the last of which holds its span.
 """
 
 from __future__ import annotations
@@ -38,7 +38,10 @@ LONGEST_KEPT = 64
 SLICE = 1 << 20
 
 BLANK = "▁"
-NO_MERGE = 1 << 60
+NO_RANK = 1 << 28
+NO_MERGE = NO_RANK << 32
+# Key of a free place in the table of pairs; that of two characters without a piece is -1.
+FREE = -2
 # Kinds of pieces in the model file.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
@@ -178,6 +181,11 @@ class PieceBpe:
         self.segment = re.compile(".+" if spans else f"{BLANK}*[^{BLANK}]+|{BLANK}+", re.DOTALL)
         self.sliced = self.map.cuts_at_blank and not self.remove_extra and not spans
         self.kept = _Segments(self._merged)
+        self.symbol_of = np.full(0x110000, -1, np.int64)
+        for piece, number in self.ids.items():
+            if len(piece) == 1:
+                self.symbol_of[ord(piece)] = number
+        self._pair_table()
 
     def normalise(self, text: str, first: bool = True) -> tuple[str, np.ndarray]:
         """The normalised text, and for each of its bytes and its end the byte of ``text`` where its source begins.
@@ -263,27 +271,123 @@ class PieceBpe:
             offer(left)
         return [part for part in parts if part]
 
-    def _merged(self, segment: str) -> tuple[bytes, bytes]:
-        """Ids and lengths in normalised bytes of the pieces of a segment, each as 32-bit integers.
+    def _merged(self, segment: str) -> bytes:
+        """Id and length in normalised bytes of each piece of a segment, as pairs of 32-bit integers.
 
         Of the bytes of a character without a piece, the last has its whole length and the others none.
         """
-        parts = self._parts(segment)
-        ids = list(map(self.ids.get, parts))
-        if None not in ids:
-            sizes = [len(part) if part.isascii() else len(part.encode()) for part in parts]
-        else:
-            ids, sizes = [], []
-            for part in parts:
-                data = part.encode()
-                number = self.ids.get(part)
-                if number is None:
-                    ids.extend(self.byte_ids[byte] for byte in data)
-                    sizes.extend([0] * (len(data) - 1))
-                else:
-                    ids.append(number)
-                sizes.append(len(data))
-        return pack(f"<{len(ids)}I", *ids), pack(f"<{len(ids)}I", *sizes)
+        pairs: list[int] = []
+        for part in self._parts(segment):
+            data = part.encode()
+            number = self.ids.get(part)
+            if number is None:
+                for byte in data[:-1]:
+                    pairs += [self.byte_ids[byte], 0]
+                number = self.byte_ids[data[-1]]
+            pairs += [number, len(data)]
+        return pack(f"<{len(pairs)}I", *pairs)
+
+    def _learn(self, segments: set[str]) -> None:
+        """Merge the segments that are new, all at once, and keep them.
+
+        Each round merges the best pair of every segment that has one: flat arrays hold the symbols, links to the
+        neighbours, and for each pair its rank and place as one number, of which a segment's least is its next merge.
+        """
+        if len(self.kept) > MOST_SEGMENTS:
+            self.kept.clear()
+        new = [s for s in segments.difference(self.kept) if len(s) <= LONGEST_KEPT]
+        if not new:
+            return
+        points = np.frombuffer("".join(new).encode("utf-32-le"), "<u4")
+        sizes = np.fromiter(map(len, new), np.int64, len(new))
+        starts = np.cumsum(sizes) - sizes
+        symbol = self.symbol_of[points]
+        odd = np.logical_or.reduceat(symbol < 0, starts)
+        count = len(points)
+        # One more place behind the last, which no pair reaches.
+        after = np.arange(1, count + 1)
+        after[starts + sizes - 1] = count
+        before = np.arange(-1, count - 1)
+        before[starts] = count
+        symbol = np.append(symbol, -1)
+        after, before = np.append(after, count), np.append(before, count)
+        alive = np.ones(count, bool)
+
+        def keys(places: np.ndarray) -> np.ndarray:
+            rank = self._pair(symbol[places], symbol[after[places]])[1]
+            return np.where(rank < NO_RANK, rank << 32 | places, NO_MERGE)
+
+        key = keys(np.arange(count))
+        open_starts, open_sizes = starts, sizes
+        where = np.arange(count)
+        while True:
+            best = np.minimum.reduceat(key[where], open_starts)
+            going = best < NO_MERGE
+            if not going.any():
+                break
+            left = best[going] & 0xFFFFFFFF
+            right = after[left]
+            symbol[left] = self._pair(symbol[left], symbol[right])[0]
+            alive[right] = False
+            key[right] = NO_MERGE
+            after[left] = after[right]
+            inner = after[left] < count
+            before[after[left[inner]]] = left[inner]
+            key[left] = keys(left)
+            front = before[left]
+            front = front[front < count]
+            key[front] = keys(front)
+            # What is left: the places that still count, of the segments that still merge.
+            stays = alive[where] & np.repeat(going, open_sizes)
+            open_sizes = np.add.reduceat(stays, open_starts)[going]
+            where = where[stays]
+            open_starts = np.cumsum(open_sizes) - open_sizes
+        places = np.flatnonzero(alive)
+        widths = np.cumsum(1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF))
+        ends = widths[np.append(places[1:], count) - 1]
+        pairs = np.empty((len(places), 2), "<u4")
+        pairs[:, 0] = symbol[places]
+        pairs[:, 1] = np.diff(ends, prepend=0)
+        packed = pairs.tobytes()
+        bounds = (np.append(np.searchsorted(places, starts), len(places)) * 8).tolist()
+        kept = self.kept
+        for k, segment in enumerate(new):
+            kept[segment] = self._merged(segment) if odd[k] else packed[bounds[k] : bounds[k + 1]]
+
+    def _pair(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Symbol and rank of the pieces that pairs of symbols make; the rank is NO_RANK where they make none."""
+        wanted = left.astype(np.int64) << 32 | (right.astype(np.int64) & 0xFFFFFFFF)
+        slot = (wanted * _SPREAD) >> self.pair_shift & self.pair_mask
+        found = np.full(len(wanted), -1)
+        at = np.arange(len(wanted))
+        while len(at):
+            held = self.pair_keys[slot]
+            hit = held == wanted[at]
+            found[at[hit]] = slot[hit]
+            more = ~hit & (held != FREE)
+            at, slot = at[more], slot[more] + 1 & self.pair_mask
+        none = found < 0
+        return np.where(none, -1, self.pair_symbol[found]), np.where(none, NO_RANK, self.pair_rank[found])
+
+    def _pair_table(self) -> None:
+        """A table of every two pieces that make a piece, by open addressing with one place in four taken at most."""
+        rows = []
+        for piece, number in self.ids.items():
+            for k in range(1, len(piece)):
+                left, right = self.ids.get(piece[:k]), self.ids.get(piece[k:])
+                if left is not None and right is not None:
+                    rows.append((left << 32 | right, number, self.rank[piece]))
+        bits = max(4, (4 * len(rows)).bit_length())
+        self.pair_shift, self.pair_mask = 64 - bits, (1 << bits) - 1
+        size = 1 << bits
+        self.pair_keys = np.full(size, FREE, np.int64)
+        self.pair_symbol, self.pair_rank = np.zeros(size, np.int64), np.zeros(size, np.int64)
+        if rows:
+            slots = np.array([key for key, _, _ in rows], np.int64) * _SPREAD >> self.pair_shift & self.pair_mask
+            for (key, number, rank), slot in zip(rows, slots.tolist(), strict=True):
+                while self.pair_keys[slot] != FREE:
+                    slot = slot + 1 & self.pair_mask
+                self.pair_keys[slot], self.pair_symbol[slot], self.pair_rank[slot] = key, number, rank
 
     def _slices(self, text: str) -> Iterator[str]:
         at = 0
@@ -295,29 +399,45 @@ class PieceBpe:
             at = cut.start()
         yield text[at:] if at else text
 
-    def encode(self, text: str, begin: bool = True, end: bool = True) -> Encoded:
-        """Ids and spans of the whole text, with the ids of begin and end where asked for."""
-        ids: list[bytes] = []
-        spans: list[tuple[np.ndarray, np.ndarray]] = []
+    def _prepared(self, part: str, first: bool) -> tuple[list[str], np.ndarray]:
+        normalised, origin = self.normalise(part, first)
+        return self.segment.findall(normalised), origin
+
+    def _placed(self, segments: list[str], origin: np.ndarray, offset: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of segments, and their spans projected to the original."""
+        pairs = np.frombuffer(b"".join(map(self.kept.__getitem__, segments)), "<u4").reshape(-1, 2)
+        ends = np.cumsum(pairs[:, 1], dtype=np.int64)
+        starts = np.concatenate([np.zeros(1, np.int64), ends[:-1]])[: len(ends)]
+        return pairs[:, 0], origin[starts].astype(np.int64) + offset, origin[ends].astype(np.int64) + offset
+
+    def encode_many(self, texts: list[str], begin: bool = True, end: bool = True) -> Iterator[Encoded]:
+        """Ids and spans of whole texts, with the ids of begin and end where asked for.
+
+        New segments of all texts of up to a slice are merged together; a longer text goes slice by slice.
+        """
+        ready = [self._prepared(text, True) if len(text) <= SLICE else None for text in texts]
+        self._learn(set().union(*[pair[0] for pair in ready if pair]))
+        for text, pair in zip(texts, ready, strict=True):
+            size = len(text) if text.isascii() else len(text.encode())
+            found = [self._placed(*pair, 0)] if pair else list(self._long(text))
+            edges = [np.array([place] if on else [], np.int64) for on, place in ((begin, 0), (end, size))]
+            marks = [np.array([n] if on else [], "<u4") for on, n in ((begin, self.begin_id), (end, self.end_id))]
+            yield Encoded(
+                np.concatenate([marks[0], *[f[0] for f in found], marks[1]]),
+                np.concatenate([edges[0], *[f[1] for f in found], edges[1]]),
+                np.concatenate([edges[0], *[f[2] for f in found], edges[1]]),
+            )
+
+    def _long(self, text: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         offset = 0
         for part in self._slices(text):
-            if len(self.kept) > MOST_SEGMENTS:
-                self.kept.clear()
-            normalised, origin = self.normalise(part, first=not offset)
-            found = list(map(self.kept.__getitem__, self.segment.findall(normalised)))
-            ids.extend([pair[0] for pair in found])
-            sizes = np.frombuffer(b"".join([pair[1] for pair in found]), "<u4")
-            ends = np.cumsum(sizes, dtype=np.int64)
-            starts = np.concatenate([np.zeros(1, np.int64), ends[:-1]])[: len(ends)]
-            spans.append((origin[starts].astype(np.int64) + offset, origin[ends].astype(np.int64) + offset))
+            segments, origin = self._prepared(part, first=not offset)
+            self._learn(set(segments))
+            yield self._placed(segments, origin, offset)
             offset += len(part.encode())
-        edges = [np.array([place] if on else [], np.int64) for on, place in ((begin, 0), (end, offset))]
-        marks = [np.array([number] if on else [], "<u4") for on, number in ((begin, self.begin_id), (end, self.end_id))]
-        return Encoded(
-            np.concatenate([marks[0], np.frombuffer(b"".join(ids), "<u4"), marks[1]]),
-            np.concatenate([edges[0], *[a for a, _ in spans], edges[1]]),
-            np.concatenate([edges[0], *[b for _, b in spans], edges[1]]),
-        )
+
+    def encode(self, text: str, begin: bool = True, end: bool = True) -> Encoded:
+        return next(self.encode_many([text], begin, end))
 
     def decode(self, ids: list[int]) -> str:
         """The text of the pieces; control ids have none, and the blank that was put before a text goes.
@@ -338,20 +458,18 @@ class PieceBpe:
 
 
 _CUT = re.compile("(?<=[!-~]) ")
+_SPREAD = np.int64(-7046029254386353131)
 
 
 class _Segments(dict):
-    """Merged segments by their text; a missing one is merged, and kept unless it is long."""
+    """Merged segments by their text; one that is not kept is merged by itself."""
 
     def __init__(self, merge) -> None:
         super().__init__()
         self.merge = merge
 
-    def __missing__(self, segment: str) -> tuple[bytes, bytes]:
-        value = self.merge(segment)
-        if len(segment) <= LONGEST_KEPT:
-            self[segment] = value
-        return value
+    def __missing__(self, segment: str) -> bytes:
+        return self.merge(segment)
 
 
 @lru_cache(maxsize=2)
@@ -361,6 +479,19 @@ def codec(model: str) -> PieceBpe:
         return PieceBpe(file.read())
 
 
+def _groups(texts: pa.Array) -> Iterator[list[str]]:
+    """The texts in groups of about a slice; null counts as empty."""
+    group, size = [], 0
+    for text in texts:
+        group.append(text.as_py() or "")
+        size += len(group[-1])
+        if size >= SLICE:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
 def encode(
     df: DataFrame,
     text_column: str = "text",
@@ -387,18 +518,13 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model)
         for batch in batches:
-            start, rows, size = 0, [], 0
-            for k, text in enumerate(batch.column("x")):
-                value = text.as_py() or ""
-                rows.append(own.encode(value, begin, end))
-                size += len(value)
-                if len(rows) >= 256 or size >= SLICE or k + 1 == batch.num_rows:
-                    part = batch.slice(start, len(rows))
-                    made = [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)]
-                    yield pa.RecordBatch.from_arrays(
-                        [*[part.column(n) for n in inner], *made], [*inner, "y0", "y1", "y2"]
-                    )
-                    start, rows, size = k + 1, [], 0
+            start = 0
+            for group in _groups(batch.column("x")):
+                rows = list(own.encode_many(group, begin, end))
+                part = batch.slice(start, len(rows))
+                start += len(rows)
+                made = [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)]
+                yield pa.RecordBatch.from_arrays([*[part.column(n) for n in inner], *made], [*inner, "y0", "y1", "y2"])
 
     small_batches(df.sparkSession)
     out = plain.mapInArrow(run, schema)
@@ -445,12 +571,12 @@ def encoded_digests(docs: DataFrame, model: str = MODEL) -> DataFrame:
         own = codec(model)
         for batch in batches:
             counts, of_ids, of_texts, covered = [], [], [], []
-            for text in batch.column(1):
-                ids, begins, ends = own.encode(text.as_py() or "")
-                counts.append(len(ids))
-                of_ids.append(sha256(ids.tobytes()).hexdigest())
-                of_texts.append(sha256(own.decode(ids.tolist()).encode()).hexdigest())
-                covered.append(int((ends - begins).sum()))
+            for group in _groups(batch.column(1)):
+                for ids, begins, ends in own.encode_many(group):
+                    counts.append(len(ids))
+                    of_ids.append(sha256(ids.tobytes()).hexdigest())
+                    of_texts.append(sha256(own.decode(ids.tolist()).encode()).hexdigest())
+                    covered.append(int((ends - begins).sum()))
             columns = [pa.array(counts, pa.int64()), pa.array(of_ids), pa.array(of_texts), pa.array(covered, pa.int64())]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names)
 
