@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,7 +48,6 @@ SELECTION = ReportFilter(fiscal_year=YEAR, scenario="Actual")
 
 # A customer and brand pair has too few months here for a 12-month lag.
 SERIES = ("business_unit", "region", "product_family")
-SMALL_TREES = fc.TreeParams(trees=20, depth=5, learning_rate=0.1)
 
 
 def present(df: DataFrame) -> DataFrame:
@@ -335,26 +333,26 @@ def _stored_training(tables: SampleTables) -> DataFrame:
     return fc.materialise(_training(tables), "training-set")
 
 
-_FITTED: dict[tuple[str, str], tuple[DataFrame, PipelineModel]] = {}
+_FITTED: dict[tuple[str, str], tuple[DataFrame, dict[int, fc.BoostedTrees]]] = {}
 
 
-def _fitted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, PipelineModel]:
-    """Stored training set and model of a folder, made once in a session."""
+def _fitted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[int, fc.BoostedTrees]]:
+    """Stored training set of a folder, its model (0) and those of the folds, made once in a session."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _FITTED:
         training = _stored_training(SampleTables(spark, sf_dir))
-        _FITTED[key] = training, fc.train_forecast(training, SMALL_TREES)
+        _FITTED[key] = training, fc.train_with_folds(training)
     return _FITTED[key]
 
 
 def ml_train(spark: SparkSession, sf_dir: str) -> DataFrame:
-    training, model = _fitted(spark, sf_dir)
-    return model.transform(training).select(*SERIES, "period", fc.TARGET, "prediction")
+    training, models = _fitted(spark, sf_dir)
+    return models[0].transform(training).select(*SERIES, "period", fc.TARGET, "prediction")
 
 
 def ml_cv_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    training, _ = _fitted(spark, sf_dir)
-    return fc.cross_validate(training, SMALL_TREES)
+    training, models = _fitted(spark, sf_dir)
+    return fc.cross_validate(training, models=models)
 
 
 def ml_cv_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -363,8 +361,22 @@ def ml_cv_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ml_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    training, model = _fitted(spark, sf_dir)
-    return fc.feature_importance(model, training)
+    training, models = _fitted(spark, sf_dir)
+    return fc.feature_importance(models[0], training)
+
+
+def ml_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact attribution of the prediction of every training row."""
+    training, models = _fitted(spark, sf_dir)
+    return fc.attribution(models[0], training, [*SERIES, "period"])
+
+
+def ml_attribution_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Explained rows of each unit, and whether the attributions of all add up to the predictions."""
+    total = F.col("base") + F.aggregate("attribution", F.lit(0.0), lambda a, b: a + b)
+    close = F.abs(total - F.col("prediction")) <= 1e-9 * F.greatest(F.abs("prediction"), F.lit(1e6))
+    explained = ml_attribution(spark, sf_dir).groupBy("business_unit")
+    return explained.agg(F.count("*").alias("row_count"), F.bool_and(close).alias("adds_up"))
 
 
 def ml_importance_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -378,8 +390,8 @@ def ml_importance_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    training, model = _fitted(spark, sf_dir)
-    return fc.score_forecast(model, training, SERIES)
+    training, models = _fitted(spark, sf_dir)
+    return fc.score_forecast(models[0], training, SERIES)
 
 
 def ml_forecast_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -464,6 +476,8 @@ def queries() -> dict[str, Query]:
         "ml_scoring_frame": _shaped(lambda t: fc.scoring_frame(_training(t), SERIES)),
         "ml_cv_shape": ml_cv_shape,
         "ml_importance_shape": ml_importance_shape,
+        "ml_attribution": ml_attribution,
+        "ml_attribution_shape": ml_attribution_shape,
         "ml_forecast_shape": ml_forecast_shape,
         "forecast_intervals": forecast_intervals,
         "ml_revenue_forecast": _scored,

@@ -506,6 +506,9 @@ SELECT unnest(['lag_revenue_1m', 'lag_revenue_2m', 'lag_revenue_3m', 'lag_revenu
   'month_of_year', 'quarter', 'utilization_pct', 'fx_rate_avg', 'business_unit', 'region', 'end_market',
   'is_aftermarket']) AS feature, true AS has_attribution, true AS has_split_share
 FROM (SELECT COUNT(*) AS n FROM x_training) WHERE n > 0
+""",
+    "ml_attribution_shape": """
+SELECT business_unit, COUNT(*) AS row_count, true AS adds_up FROM x_training GROUP BY business_unit
 """,
     "ml_forecast_shape": """
 WITH last AS (

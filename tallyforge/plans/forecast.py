@@ -7,13 +7,8 @@ and the fitted model reach the driver.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,7 +22,9 @@ from tallyforge.functions.calendar import (
 )
 from tallyforge.operators.dedup import dedup_latest
 from tallyforge.operators.ratios import exact_mean
-from tallyforge.session import ensure_checkpoint_dir, scratch_path
+from tallyforge.plans import boosting
+from tallyforge.plans.boosting import BoostedTrees, TreeParams
+from tallyforge.session import scratch_path
 
 # Feature names, horizon and the normal quantile of a 95 % range.
 LAGS = [1, 2, 3, 4, 5, 6]
@@ -256,19 +253,6 @@ def fold_summary(df: DataFrame, folds: int = 3) -> DataFrame:
 # Training -----------------------------------------------------------------------
 
 
-@dataclass(frozen=True)
-class TreeParams:
-    """Boosting settings."""
-
-    trees: int = 500
-    depth: int = 8
-    learning_rate: float = 0.05
-    min_rows_per_leaf: int = 20
-    row_share: float = 0.8
-    column_share: float = 0.8
-    seed: int = 42
-
-
 def materialise(df: DataFrame, purpose: str) -> DataFrame:
     """Write to the shared folder and read back, which cuts the lineage."""
     path = scratch_path(df.sparkSession, purpose)
@@ -276,39 +260,26 @@ def materialise(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def train_forecast(training: DataFrame, params: TreeParams | None = None) -> PipelineModel:
-    """Fit category indexes and boosted trees on ``training`` alone.
+def train_parts(training: DataFrame, parts: dict[int, Column], params: TreeParams | None = None) -> dict[int, BoostedTrees]:
+    """A model for each named part of ``training``, fitted side by side; hand in a materialised table.
 
-    ``training`` is read once per tree level; hand in a materialised table.
     A table without rows is an error.
     """
-    params = params or TreeParams()
     if training.isEmpty():
         raise ValueError("no training rows: no series is long enough for the lags at these series keys")
-    ensure_checkpoint_dir(training.sparkSession)
-    indexed = [f"{c}_index" for c in CATEGORICAL_FEATURES]
-    indexer = StringIndexer(
-        inputCols=CATEGORICAL_FEATURES,
-        outputCols=indexed,
-        handleInvalid="keep",
-        stringOrderType="alphabetAsc",
-    ).fit(training)
-    assembler = VectorAssembler(inputCols=[*NUMERIC_FEATURES, *indexed], outputCol="features")
-    most_labels = max(len(labels) for labels in indexer.labelsArray)
-    trees = GBTRegressor(
-        featuresCol="features",
-        labelCol=TARGET,
-        maxIter=params.trees,
-        maxDepth=params.depth,
-        stepSize=params.learning_rate,
-        minInstancesPerNode=params.min_rows_per_leaf,
-        subsamplingRate=params.row_share,
-        featureSubsetStrategy=str(params.column_share),
-        maxBins=max(32, most_labels + 1),
-        seed=params.seed,
-    )
-    prepared = assembler.transform(indexer.transform(training)).select("features", TARGET)
-    return PipelineModel([indexer, assembler, trees.fit(prepared)])
+    return boosting.train_parts(training, parts, NUMERIC_FEATURES, CATEGORICAL_FEATURES, TARGET, params or TreeParams())
+
+
+def train_forecast(training: DataFrame, params: TreeParams | None = None) -> BoostedTrees:
+    """Fit bins, labels and boosted trees on ``training`` alone."""
+    return train_parts(training, {0: F.lit(True)}, params)[0]
+
+
+def train_with_folds(training: DataFrame, params: TreeParams | None = None, folds: int = 3) -> dict[int, BoostedTrees]:
+    """The model of all rows under 0, and under its number that of each fold."""
+    spans = fold_periods(training, folds).collect()
+    before = {span.fold: F.col("month_index") < span.first_period for span in spans}
+    return train_parts(training, {0: F.lit(True)} | before, params)
 
 
 def regression_metrics(predictions: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
@@ -326,17 +297,24 @@ def regression_metrics(predictions: DataFrame, groups: Sequence[str] = ()) -> Da
 
 
 def cross_validate(
-    training: DataFrame, params: TreeParams | None = None, folds: int = 3
+    training: DataFrame,
+    params: TreeParams | None = None,
+    folds: int = 3,
+    models: dict[int, BoostedTrees] | None = None,
 ) -> DataFrame:
-    """Metrics per fold, and their means in the row with a NULL fold."""
+    """Metrics per fold, and their means in the row with a NULL fold.
+
+    ``models`` of ``train_with_folds`` are used where given.
+    """
     # One row for each fold; the months filter the stored rows directly.
     spans = fold_periods(training, folds).orderBy("fold").collect()
     if not spans:
         raise ValueError("no folds: the training rows span too few months")
+    models = models or train_with_folds(training, params, folds)
     scored, month = [], F.col("month_index")
     for span in spans:
-        model = train_forecast(training.where(month < span.first_period), params)
-        predictions = model.transform(training.where(month.between(span.first_period, span.last_period)))
+        rows = training.where(month.between(span.first_period, span.last_period))
+        predictions = models[span.fold].transform(rows)
         scored.append(predictions.select(F.lit(span.fold).alias("fold"), TARGET, "prediction"))
     per_fold = regression_metrics(reduce(DataFrame.unionByName, scored), ["fold"])
     # Grouping sets over the handful of fold rows give the mean line as well.
@@ -352,9 +330,6 @@ def cross_validate(
 
 # Attribution --------------------------------------------------------------------
 
-# Rows that serve one another as background.
-BUCKET_ROWS = 500
-
 
 def sample_rows(df: DataFrame, size: int, seed: int) -> DataFrame:
     """At most ``size`` rows in hash order, the same ones on every run."""
@@ -362,85 +337,26 @@ def sample_rows(df: DataFrame, size: int, seed: int) -> DataFrame:
     return df.withColumn("_order", order).orderBy("_order").limit(size).drop("_order")
 
 
+def attribution(model: BoostedTrees, rows: DataFrame, kept: Sequence[str] = ()) -> DataFrame:
+    """``kept`` columns, the exact Shapley value of each feature, base and prediction of every row."""
+    return boosting.explain(model, rows, kept)
+
+
 def feature_importance(
-    model: PipelineModel,
-    training: DataFrame,
-    sample_size: int | None = None,
-    rounds: int = 5,
-    seed: int = 42,
+    model: BoostedTrees, training: DataFrame, sample_size: int | None = None, seed: int = 42
 ) -> DataFrame:
-    """Mean absolute Shapley value per feature, beside the trees' split importance.
+    """Mean absolute Shapley value per feature, beside its share in the gain of all splits.
 
     Every row is explained; ``sample_size`` explains that many, in hash order.
-    Shapley values are estimated by sampling: each round switches the features
-    of a background row to those of the explained row one by one in a random
-    order, and credits each feature with the change of the prediction. The
-    background row comes from the same bucket of about ``BUCKET_ROWS`` rows by
-    row hash; series and month make rows distinct, so buckets are even.
     """
-    *preparation, trees = model.stages
     chosen = training if sample_size is None else sample_rows(training, sample_size, seed)
-    buckets = max(1, -(-chosen.count() // BUCKET_ROWS))
-    vectors = PipelineModel(list(preparation)).transform(
-        chosen.withColumn("_hash", F.xxhash64(F.lit(seed), *[F.col(c) for c in chosen.columns]))
-    )
-    own = Window.partitionBy("bucket")
-    numbered = vectors.select(
-        F.pmod("_hash", F.lit(buckets)).alias("bucket"), "_hash", vector_to_array("features").alias("x")
-    ).select(
-        "bucket",
-        (F.row_number().over(own.orderBy("_hash")) - 1).alias("row"),
-        F.count(F.lit(1)).over(own).alias("rows"),
-        "x",
-    )
-    numbered = materialise(numbered, "explained-rows")
-    width = len(FEATURES)
-    others = F.greatest(F.col("rows") - 1, F.lit(1))
-    shift = F.pmod(F.xxhash64(F.lit(seed), F.col("round")), others) + 1
-    walks = numbered.select(
-        "bucket", "row", "rows", "x", F.explode(F.sequence(F.lit(1), F.lit(rounds))).alias("round")
-    ).withColumn("other", F.pmod(F.col("row") + shift, F.col("rows")))
-    background = numbered.select("bucket", F.col("row").alias("other"), F.col("x").alias("z"))
-    numbers = F.sequence(F.lit(1), F.lit(width))
-    shuffled = F.array_sort(
-        F.transform(
-            numbers,
-            lambda j: F.struct(
-                F.xxhash64(F.lit(seed), F.col("bucket"), F.col("row"), F.col("round"), j).alias("h"), j.alias("j")
-            ),
-        )
-    )
-    steps = (
-        walks.join(background, ["bucket", "other"])
-        .withColumn("order", F.transform(shuffled, lambda s: s["j"]))
-        .withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(width))))
-        .withColumn("switched", F.slice("order", F.lit(1), F.col("step")))
-    )
-    mixed = F.transform(
-        numbers,
-        lambda j: F.when(
-            F.array_contains("switched", j), F.element_at("x", j)
-        ).otherwise(F.element_at("z", j)),
-    )
-    predicted = trees.transform(steps.withColumn("features", array_to_vector(mixed)))
-    walk = Window.partitionBy("bucket", "row", "round").orderBy("step")
-    gains = predicted.select(
-        "bucket",
-        "row",
-        "round",
-        F.when(F.col("step") > 0, F.element_at("order", F.col("step"))).alias("j"),
-        (F.col("prediction") - F.lag("prediction").over(walk)).alias("gain"),
-    ).where(F.col("j").isNotNull())
-    per_row = gains.groupBy("bucket", "row", "j").agg(F.avg("gain").alias("shap"))
+    values = attribution(model, chosen).select(F.posexplode("attribution").alias("j", "shap"))
+    shares = list(enumerate(zip(FEATURES, model.split_shares(), strict=True)))
     split_gain = training.sparkSession.createDataFrame(
-        [
-            (number + 1, name, float(trees.featureImportances[number]))
-            for number, name in enumerate(FEATURES)
-        ],
-        "j int, feature string, split_importance double",
+        [(number, name, share) for number, (name, share) in shares], "j int, feature string, split_importance double"
     )
     return (
-        per_row.groupBy("j")
+        values.groupBy("j")
         .agg(F.avg(F.abs("shap")).alias("mean_abs_shap"))
         .join(split_gain, "j")
         .select("feature", "mean_abs_shap", "split_importance")
@@ -476,14 +392,14 @@ def scoring_frame(
     )
 
 
-def residual_spread(model: PipelineModel, training: DataFrame) -> float:
+def residual_spread(model: BoostedTrees, training: DataFrame) -> float:
     """Population standard deviation of the in-sample residuals."""
     fitted = model.transform(training)
     return fitted.agg(F.stddev_pop(F.col(TARGET) - F.col("prediction"))).first()[0] or 0.0
 
 
 def score_forecast(
-    model: PipelineModel,
+    model: BoostedTrees,
     training: DataFrame,
     series_keys: Sequence[str] = SERIES_KEYS,
     horizon: int = HORIZON,

@@ -171,7 +171,7 @@ def build_gold(warehouse: Warehouse, names: Sequence[str] | None = None) -> None
 
 
 def model_path(warehouse: Warehouse) -> str:
-    """Folder of the fitted pipeline in the shared folder."""
+    """Folder of the fitted model in the shared folder."""
     return f"{shared_root(warehouse.spark).rstrip('/')}/models/{warehouse.database}/revenue_forecast"
 
 
@@ -184,7 +184,7 @@ def build_forecast(
     """Train on the cleaned orders, write the forecast and return it.
 
     Fold metrics, feature attribution and the forecast beside the actuals are written as tables of their own; the
-    fitted pipeline is saved at ``model_path``.
+    fitted model is saved at ``model_path``.
     """
     features = fc.forecast_features(
         warehouse["silver_fact_orders"],
@@ -197,18 +197,19 @@ def build_forecast(
         gap_aware,
     )
     training = fc.materialise(fc.training_set(features, series_keys), "training-set")
-    model = fc.train_forecast(training, params)
+    models = fc.train_with_folds(training, params)
+    model = models[0]
     scored = fc.score_forecast(model, training, series_keys)
     warehouse.write("ml_revenue_forecast", scored, "gold", "Revenue forecast by series and month")
     compared = forecast_with_actuals(
         warehouse["ml_revenue_forecast"], warehouse["silver_dim_entity"], warehouse["gold_revenue_summary"]
     )
     warehouse.write("forecast_with_actuals", compared, "gold", "Forecast beside actual revenue")
-    folds = fc.cross_validate(training, params)
+    folds = fc.cross_validate(training, params, models=models)
     warehouse.write("ml_cv_metrics", folds, "gold", "Forecast errors by validation fold")
     shares = fc.feature_importance(model, training)
     warehouse.write("ml_feature_importance", shares, "gold", "Share of each feature in the forecast")
-    model.write().overwrite().save(model_path(warehouse))
+    model.save(warehouse.spark, model_path(warehouse))
     return warehouse["ml_revenue_forecast"]
 
 

@@ -169,7 +169,7 @@ def test_cross_validation_has_a_mean_line(training):
 
 
 def test_importance_ranks_the_driver_first(training, model):
-    rows = fc.feature_importance(model, training, sample_size=40, rounds=3).collect()
+    rows = fc.feature_importance(model, training, sample_size=40).collect()
     assert len(rows) == 18 and rows[0].feature == "lag_revenue_1m"
     assert sum(r.split_importance for r in rows) == pytest.approx(1)
     assert {r.mean_abs_shap for r in rows if r.feature in ("region", "end_market")} == {0.0}

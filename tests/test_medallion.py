@@ -3,9 +3,9 @@ from pathlib import Path
 from shutil import copyfile
 
 import pytest
-from pyspark.ml import PipelineModel
 
 from tallyforge.plans import forecast as fc
+from tallyforge.plans.boosting import BoostedTrees
 from tallyforge.plans.medallion import GOLD_TABLES, build_bronze, build_silver, model_path, run_all
 from tallyforge.plans.metrics import METRIC_VIEWS
 from tallyforge.plans.questions import QUESTIONS
@@ -52,7 +52,7 @@ def test_landing_to_forecast(spark):
     assert orphans.count() > 20
     assert {r.fold for r in house["ml_cv_metrics"].collect()} == {1, 2, 3, None}
     assert house["ml_feature_importance"].count() == len(fc.FEATURES)
-    assert PipelineModel.load(model_path(house)).stages
+    assert len(BoostedTrees.load(spark, model_path(house)).trees) == 3
     for name in REPORTS:
         if name.startswith("forecast_"):
             assert report(name, house, ReportFilter()).count() > 0

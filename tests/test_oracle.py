@@ -8,7 +8,7 @@ FOLDER = "/root/testdata/sf0.001"
 QUERIES = {k: q for k, q in entry.queries().items() if k not in entry.TEXT_QUERIES}
 SQL = {k: s for k, s in entry.oracle_sql().items() if k not in entry.TEXT_SQL}
 # Results of a trained model or of the clock have no SQL counterpart.
-UNCHECKED = {"ml_train", "ml_cv_metrics", "ml_feature_importance", "forecast_intervals", "ml_revenue_forecast"}
+UNCHECKED = {"ml_train", "ml_cv_metrics", "ml_feature_importance", "ml_attribution", "forecast_intervals", "ml_revenue_forecast"}
 
 
 @pytest.fixture(scope="module")
