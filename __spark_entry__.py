@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,9 +26,10 @@ from tallyforge.plans.questions import QUESTIONS
 from tallyforge.plans.reports import REPORTS, ReportFilter
 from tallyforge.session import scratch_path
 from tallyforge.sources.feeds import FEEDS
-from tallyforge.sources.files import read_csv, write_csv
+from tallyforge.sources.files import deliver_csv, read_csv, write_csv
 from tallyforge.sources.testdata import SampleTables, bronze_rows
 from tallyforge.sources.warehouse import table_inventory
+from tallyforge.streaming.deliveries import Deliveries
 from tallyforge.streaming.ingest import ingest, read_bronze
 
 try:
@@ -95,6 +96,49 @@ def bronze_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _events_landing(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str, Deliveries]:
+    """The events, an empty landing folder, and the deliveries of a feed that declares the events' columns."""
+    events = SampleTables(spark, sf_dir).raw("events")
+    root = scratch_path(spark, "deliveries")
+    return events, f"{root}/landing", Deliveries(spark, _text_schema(events), f"{root}/bronze")
+
+
+def bronze_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events delivered in three layouts: as declared, in reverse order, and with a new column in place of an old one."""
+    events, landing, feed = _events_landing(spark, sf_dir)
+    layout = F.pmod(F.col("event_id"), F.lit(3))
+    text = _as_text(events)
+    wide = text.withColumn("channel", F.concat(F.lit("c"), F.col("user_id"))).drop("value")
+    deliver_csv(text.where(layout == 0), landing, "events_declared")
+    feed.land_waiting(landing, "events_*.csv")
+    deliver_csv(text.where(layout == 1).select(*reversed(text.columns)), landing, "events_reversed")
+    deliver_csv(wide.where(layout == 2), landing, "events_wide")
+    feed.land_waiting(landing, "events_*.csv")
+    return feed.rows().select(
+        *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in events.schema.fields],
+        F.element_at("_extra_columns", F.lit("channel")).alias("channel"),
+        F.col("_rescued_data").isNotNull().alias("rescued"),
+    )
+
+
+def bronze_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest state of events that come twice under the same names, at first with other values."""
+    events, landing, feed = _events_landing(spark, sf_dir)
+    text = _as_text(events)
+    deliver_csv(text.withColumn("value", F.lit("0.5")).withColumn("event_type", F.lit("draft")), landing, "events")
+    feed.land_waiting(landing, "events_*.csv")
+    deliver_csv(text, landing, "events")
+    feed.land_waiting(landing, "events_*.csv")
+    # A third run finds nothing that is new.
+    feed.land_waiting(landing, "events_*.csv")
+    rows = feed.rows()
+    times = F.count(F.lit(1)).over(Window.partitionBy("event_id")).alias("deliveries")
+    latest = dedup_latest(rows.select(*text.columns, "_ingested_at", "_batch", times), ["event_id"], ["_batch"])
+    return latest.select(
+        *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in events.schema.fields], "deliveries"
+    )
+
+
 def sink_csv_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the documents as CSV and read them back: every text as it was."""
     docs = SampleTables(spark, sf_dir).raw("documents")
@@ -426,6 +470,8 @@ def _shaped(build: Callable[[SampleTables], DataFrame]) -> Query:
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         "bronze_ingest_stream": bronze_ingest_stream,
+        "bronze_widened": bronze_widened,
+        "bronze_redelivery": bronze_redelivery,
         "sink_csv_roundtrip": sink_csv_roundtrip,
         "sink_csv_text": sink_csv_text,
         "table_inventory": inventory,

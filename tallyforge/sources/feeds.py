@@ -15,6 +15,8 @@ INGESTED_AT = "_ingested_at"
 SOURCE_FILE = "_source_file"
 # The whole text of a line that has too many or too few cells.
 RESCUED = "_rescued_data"
+# Cells of columns that the feed doesn't declare, by name.
+EXTRA = "_extra_columns"
 
 
 @dataclass(frozen=True)

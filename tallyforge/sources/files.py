@@ -49,6 +49,20 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", exact: bool = F
     df.write.mode(mode).options(**options).csv(path)
 
 
+def deliver_csv(df: DataFrame, folder: str, name: str) -> None:
+    """Write ``df`` as CSV files ``name_0.csv``, ``name_1.csv`` ... of ``folder``, one for each task; old ones go."""
+    spark = df.sparkSession
+    made = f"{folder.rstrip('/')}/_made_{name}"
+    write_csv(df, made)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(made).getFileSystem(spark._jsc.hadoopConfiguration())
+    for number, part in enumerate(sorted(str(p.getPath()) for p in files.globStatus(path(f"{made}/part-*")))):
+        target = path(f"{folder.rstrip('/')}/{name}_{number}.csv")
+        files.delete(target, False)
+        files.rename(path(part), target)
+    files.delete(path(made), True)
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, exact: bool = False) -> DataFrame:
     """Declared columns; a header that differs from them is an error.
 

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tallyforge.sources.feeds import INGESTED_AT, RESCUED, SOURCE_FILE, Feed
 from tallyforge.sources.files import CSV_OPTIONS
+from tallyforge.streaming.deliveries import Deliveries
 
 
 # Files per micro-batch: a backlog is taken in steps, so a restart repeats one step.
@@ -19,8 +20,9 @@ def landed_stream(
 ) -> DataFrame:
     """Stream of rows from the files of ``path`` (folder/pattern), with ingest metadata.
 
-    Every file counts, however old, but each name once: a delivery with new content needs a new name. A file whose header differs from ``schema`` stops the run. A line with the
-    wrong number of cells is kept, with its full text in the rescue column.
+    Every file counts, however old, but each name once, and a file whose header differs from ``schema`` stops the run;
+    ``Deliveries`` takes new content under an old name and other columns. A line with the wrong number of cells is
+    kept, with its full text in the rescue column.
     """
     folder, pattern = path.rsplit("/", 1)
     full = T.StructType([*schema.fields, T.StructField(RESCUED, T.StringType())])
@@ -62,6 +64,10 @@ def ingest(
     )
 
 
+def feed_deliveries(spark: SparkSession, feed: Feed, bronze_root: str) -> Deliveries:
+    return Deliveries(spark, feed.raw_schema, f"{bronze_root.rstrip('/')}/{feed.bronze_table}")
+
+
 def ingest_feed(
     spark: SparkSession,
     feed: Feed,
@@ -69,17 +75,10 @@ def ingest_feed(
     bronze_root: str,
     max_files: int = MAX_FILES,
 ) -> DataFrame:
-    """Ingest one feed and return its bronze rows so far."""
-    out = f"{bronze_root.rstrip('/')}/{feed.bronze_table}"
-    ingest(
-        spark,
-        f"{landing_root.rstrip('/')}/{feed.glob}",
-        feed.raw_schema,
-        out,
-        f"{bronze_root.rstrip('/')}/_checkpoints/{feed.bronze_table}",
-        max_files,
-    )
-    return read_bronze(spark, out, feed.raw_schema)
+    """Land what one feed has delivered since the last run and return its bronze rows so far."""
+    deliveries = feed_deliveries(spark, feed, bronze_root)
+    deliveries.land_waiting(landing_root.rstrip("/"), feed.glob, max_files)
+    return deliveries.rows()
 
 
 def read_bronze(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
