@@ -21,6 +21,7 @@ from tallyforge.operators.quality import (
 from tallyforge.operators.silver import silver_report, to_silver
 from tallyforge.plans import forecast as fc
 from tallyforge.plans import gold, metrics
+from tallyforge.plans.incremental import SilverVersions
 from tallyforge.plans.medallion import GOLD_TABLES
 from tallyforge.plans.questions import QUESTIONS
 from tallyforge.plans.reports import REPORTS, ReportFilter
@@ -28,9 +29,9 @@ from tallyforge.session import scratch_path
 from tallyforge.sources.feeds import FEEDS
 from tallyforge.sources.files import deliver_csv, read_csv, write_csv
 from tallyforge.sources.testdata import SampleTables, bronze_rows
-from tallyforge.sources.warehouse import table_inventory
+from tallyforge.sources.warehouse import Warehouse, table_inventory
 from tallyforge.streaming.deliveries import Deliveries
-from tallyforge.streaming.ingest import ingest, read_bronze
+from tallyforge.streaming.ingest import feed_deliveries, ingest, read_bronze
 
 try:
     import corpus_pipeline
@@ -139,6 +140,23 @@ def bronze_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned orders from two deliveries, of which the second corrects and completes the first, refreshed after each."""
+    feed = FEEDS["orders"]
+    root = scratch_path(spark, "incremental")
+    house = Warehouse(spark, root.rsplit("/", 1)[1].replace("-", "_"), f"{root}/tables")
+    text = _as_text(to_silver(bronze_rows(SampleTables(spark, sf_dir), feed), feed))
+    late = F.pmod(F.hash(feed.key), F.lit(3))
+    draft = text.withColumn("net_amount_usd", F.when(late == 1, F.lit("0.01")).otherwise(F.col("net_amount_usd")))
+    deliveries = feed_deliveries(spark, feed, f"{root}/bronze")
+    versions = SilverVersions(house, feed)
+    for name, part in (("orders_draft", draft.where(late < 2)), ("orders_final", text.where(late > 0))):
+        deliver_csv(part, f"{root}/landing", name)
+        deliveries.land_waiting(f"{root}/landing", feed.glob)
+        versions.refresh(deliveries)
+    return house[feed.silver_table]
+
+
 def sink_csv_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the documents as CSV and read them back: every text as it was."""
     docs = SampleTables(spark, sf_dir).raw("documents")
@@ -389,6 +407,10 @@ def _fitted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[int, fc.B
     return _FITTED[key]
 
 
+def forget_models() -> None:
+    _FITTED.clear()
+
+
 def ml_train(spark: SparkSession, sf_dir: str) -> DataFrame:
     training, models = _fitted(spark, sf_dir)
     return models[0].transform(training).select(*SERIES, "period", fc.TARGET, "prediction")
@@ -472,6 +494,7 @@ def queries() -> dict[str, Query]:
         "bronze_ingest_stream": bronze_ingest_stream,
         "bronze_widened": bronze_widened,
         "bronze_redelivery": bronze_redelivery,
+        "silver_incremental": lambda s, d: present(silver_incremental(s, d)),
         "sink_csv_roundtrip": sink_csv_roundtrip,
         "sink_csv_text": sink_csv_text,
         "table_inventory": inventory,

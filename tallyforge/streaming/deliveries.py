@@ -67,9 +67,15 @@ class Deliveries:
         last = self.last_batch()
         if not last:
             return self.spark.createDataFrame([], full.add(BATCH, T.LongType()))
+        read = self.spark.read.schema(full.add(BATCH, T.LongType()))
+        if not after:
+            return read.parquet(self.out).where(F.col(BATCH) <= last)
         # A folder for each batch: only those asked for are listed and read.
-        read = self.spark.read.schema(full.add(BATCH, T.LongType())).parquet(self.out)
-        return read.where(F.col(BATCH).between(after + 1, last))
+        filled = self.ledger().where((F.col("batch") > after) & (F.col("rows") > 0)).select("batch").distinct()
+        folders = [f"{self.out}/{BATCH}={r.batch}" for r in filled.collect()]
+        if not folders:
+            return self.spark.createDataFrame([], full)
+        return read.option("basePath", self.out).parquet(*folders)
 
     def last_batch(self) -> int:
         return self.ledger().agg(F.max("batch")).first()[0] or 0
