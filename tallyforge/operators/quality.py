@@ -81,17 +81,37 @@ def orphan_keys(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) ->
 def orphan_report(
     checks: Mapping[str, tuple[DataFrame, DataFrame, str, str]],
 ) -> DataFrame:
-    """Orphan key and row totals per named check."""
-    parts = []
+    """Orphan key and row totals per named check, each a fact, a dimension and the key column of either.
+
+    Checks that hand in the same frame share its scan: the key columns of a fact are stacked as check and value and
+    counted in one pass, and the keys of a dimension are read once for all checks against the column. One anti-join
+    serves the whole report. Values are compared as the dimension's type; one that does not fit it is an orphan.
+    """
+    dims: dict[tuple[int, str], tuple[int, DataFrame]] = {}
+    facts: dict[int, tuple[DataFrame, list[Column]]] = {}
     for name, (fact, dim, fact_key, dim_key) in checks.items():
-        parts.append(
-            orphan_keys(fact, dim, fact_key, dim_key).agg(
-                F.lit(name).alias("check_name"),
-                F.count(F.lit(1)).alias("orphan_keys"),
-                F.coalesce(F.sum("fact_rows"), F.lit(0)).alias("orphan_rows"),
-            )
-        )
-    report = parts[0]
-    for part in parts[1:]:
-        report = report.unionByName(part)
-    return report
+        number, _ = dims.setdefault((id(dim), dim_key), (len(dims), dim))
+        kind = dim.schema[dim_key].dataType
+        plain = F.col(fact_key).cast("string")
+        value = F.coalesce(F.col(fact_key).try_cast(kind).cast("string"), plain)
+        entry = F.struct(F.lit(name).alias("check_name"), F.lit(number).alias("dim"), value.alias("fk_value"))
+        facts.setdefault(id(fact), (fact, []))[1].append(entry)
+    used = None
+    for fact, entries in facts.values():
+        stacked = fact.select(F.inline(F.array(*entries))).where(F.col("fk_value").isNotNull())
+        counted = stacked.groupBy("check_name", "dim", "fk_value").agg(F.count(F.lit(1)).alias("fact_rows"))
+        used = counted if used is None else used.unionByName(counted)
+    known = None
+    for (_, dim_key), (number, dim) in dims.items():
+        keys = dim.select(F.lit(number).alias("dim"), F.col(dim_key).cast("string").alias("fk_value"))
+        known = keys if known is None else known.unionByName(keys)
+    found = (
+        used.join(known, ["dim", "fk_value"], "left_anti")
+        .groupBy("check_name")
+        .agg(F.count(F.lit(1)).alias("orphan_keys"), F.sum("fact_rows").alias("orphan_rows"))
+    )
+    names = used.sparkSession.createDataFrame([(name,) for name in checks], "check_name string")
+    nothing = F.lit(0).cast("long")
+    return names.join(found, "check_name", "left").select(
+        "check_name", *[F.coalesce(c, nothing).alias(c) for c in ("orphan_keys", "orphan_rows")]
+    )

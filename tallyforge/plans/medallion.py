@@ -170,13 +170,15 @@ REFERENCES = {
 def build_orphan_report(warehouse: Warehouse) -> DataFrame:
     """Write the keys of the cleaned tables that no dimension row answers, as counts for each column."""
     checks = {}
+    # One frame for each table, so that the report scans it once.
+    tables = {feed.silver_table: warehouse[feed.silver_table] for feed in FEEDS.values()}
     for feed in FEEDS.values():
         for column, _ in feed.columns:
             table, key = REFERENCES.get(column, (feed.silver_table, column))
             if table != feed.silver_table:
                 checks[f"{feed.silver_table}.{column}"] = (
-                    warehouse[feed.silver_table],
-                    warehouse[table],
+                    tables[feed.silver_table],
+                    tables[table],
                     column,
                     key,
                 )

@@ -44,3 +44,22 @@ def test_orphans(make):
     assert found == {"a": 2, "c": 1}
     both = orphan_report({"x": (fact, dim, "fk", "id"), "y": (dim, dim, "id", "id")})
     assert {tuple(r) for r in both.collect()} == {("x", 2, 3), ("y", 0, 0)}
+
+
+def test_orphans_in_one_pass(spark, make, tmp_path):
+    fact = [("a", "1", 1), ("a", "2", 1), (None, "x", 2), ("c", None, 2), ("a", "01", 9)]
+    make(fact, "k string, n string, m int").write.parquet(str(tmp_path / "fact"))
+    make([("a", 1, 1), ("b", 2, 2)], "name string, number int, other long").write.parquet(str(tmp_path / "dim"))
+    rows, dim = spark.read.parquet(str(tmp_path / "fact")), spark.read.parquet(str(tmp_path / "dim"))
+    checks = {
+        "name": (rows, dim, "k", "name"), "number": (rows, dim, "n", "number"), "other": (rows, dim, "m", "other"),
+        "none": (rows.limit(0), dim, "k", "name"), "itself": (dim, dim, "name", "name"),
+    }
+    report = orphan_report(checks)
+    assert {r.check_name: (r.orphan_keys, r.orphan_rows) for r in report.collect()} == {
+        "name": (1, 1), "number": (1, 1), "other": (1, 1), "none": (0, 0), "itself": (0, 0),
+    }
+    three = orphan_report({name: checks[name] for name in ("name", "number", "other")})
+    plan = three._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 4 and plan.count("ReadSchema: struct<k:string,n:string,m:int>") == 1
+    assert plan.count("LeftAnti") == 1
