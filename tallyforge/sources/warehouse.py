@@ -9,8 +9,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Part of the name of a table that is being written or replaced.
-STAGED = "__staged_"
+# Part of the name of a version of a table, and the property of its view that names the version.
+STAGED, VERSION = "__staged_", "version"
 
 
 class Warehouse(Mapping):
@@ -33,16 +33,19 @@ class Warehouse(Mapping):
         comment: str = "",
         partition_by: Sequence[str] = (),
     ) -> None:
-        """Replace a table; its tier and comment are kept as table properties.
+        """Replace a table; its tier and comment are kept as properties.
 
-        The rows are written to a folder of their own under a passing name, which takes the table's name only when all
-        are there. So a failed write leaves the old table, ``df`` may read the table that it replaces, and no files are
-        moved.
+        A table is a view of the last version of its rows, each of which is a table and a folder of its own. The view
+        moves to a new version in one catalog call when all its rows are there, so a reader finds the old rows or the new
+        ones, a failed write leaves the old ones, and ``df`` may read the table that it replaces. The version before stays
+        for those who still read it; older ones, and what a write that died has left, go with the next write.
         """
         if partition_by:
             # Few files per folder, and a large folder is still split over tasks.
             df = df.hint("rebalance", *partition_by)
-        made = f"{table}{STAGED}{uuid.uuid4().hex}"
+        versions = self._versions(table)
+        number = 1 + max((int(name[len(table + STAGED) :].split("_")[0]) for name in versions), default=0)
+        made = f"{table}{STAGED}{number}_{uuid.uuid4().hex}"
         folder = f"{self.spark.catalog.getDatabase(self.database).locationUri.rstrip('/')}/{made}"
         writer = df.write.mode("errorifexists").format("parquet").option("path", folder)
         if partition_by:
@@ -52,25 +55,42 @@ class Warehouse(Mapping):
         except Exception:
             self._delete(folder)
             raise
-        properties = {"quality": tier, "comment": comment}
-        text = ", ".join(f"'{k}' = '{_escaped(v)}'" for k, v in properties.items() if v)
-        if text:
-            self.spark.sql(f"ALTER TABLE {self.qualified(made)} SET TBLPROPERTIES ({text})")
+        before = self._shown(table)
+        self._show(table, made, comment, {"quality": tier, VERSION: made})
+        for name in versions:
+            if name != before:
+                self._drop(name)
+
+    def _versions(self, table: str) -> list[str]:
+        """Tables that hold versions of a table, also those that no view shows."""
+        found = self.spark.catalog.listTables(self.database, f"{table}{STAGED}*")
+        return [t.name for t in found if t.name.startswith(table + STAGED)]
+
+    def _shown(self, table: str) -> str | None:
+        """The version that a table shows. A table of another kind becomes its first version."""
         if table not in self:
-            self._rename(made, table)
-            return
-        replaced = f"{made}_old"
-        self._rename(table, replaced)
-        self._rename(made, table)
-        about = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.qualified(replaced)}")
+            return None
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.qualified(table)}").collect()
+        shown = {r.key: r.value for r in rows}.get(VERSION)
+        if shown is None:
+            shown = f"{table}{STAGED}0_{uuid.uuid4().hex}"
+            self.spark.sql(f"ALTER TABLE {self.qualified(table)} RENAME TO {self.qualified(shown)}")
+        return shown
+
+    def _show(self, table: str, version: str, comment: str, properties: Mapping[str, str]) -> None:
+        text = ", ".join(f"'{k}' = '{_escaped(v)}'" for k, v in properties.items() if v)
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW {self.qualified(table)} COMMENT '{_escaped(comment)}' TBLPROPERTIES ({text}) "
+            f"AS SELECT * FROM {self.qualified(version)}"
+        )
+
+    def _drop(self, version: str) -> None:
+        about = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.qualified(version)}")
         place = about.where("col_name = 'Location'").first()
-        self.spark.sql(f"DROP TABLE {self.qualified(replaced)}")
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.qualified(version)}")
         if place and STAGED in place.data_type:
             self._delete(place.data_type)
 
-    def _rename(self, table: str, name: str) -> None:
-        self.spark.sql(f"ALTER TABLE {self.qualified(table)} RENAME TO {self.qualified(name)}")
-
     def _delete(self, folder: str) -> None:
         """Remove a folder that ``write`` made."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)

@@ -1,8 +1,10 @@
+import threading
 import uuid
 from pathlib import Path
 from shutil import copyfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyforge.plans import forecast as fc
 from tallyforge.plans.boosting import BoostedTrees
@@ -90,3 +92,50 @@ def test_exact_csv_keeps_every_text(spark):
     path = f"/tmp/tallyforge-run-{uuid.uuid4().hex}"
     write_csv(rows, path, exact=True)
     assert sorted(read_csv(spark, path, rows.schema, exact=True).collect()) == rows.orderBy("id").collect()
+
+
+def test_readers_never_miss_a_replaced_table(spark):
+    house = Warehouse(spark, f"plan_{uuid.uuid4().hex[:8]}")
+    house.write("kept", spark.range(5).withColumn("part", F.col("id") % 2), "gold", "it's", ["part"])
+    seen, failed, stop = set(), [], threading.Event()
+
+    def read():
+        while not stop.is_set():
+            try:
+                seen.add(house["kept"].count())
+            except Exception as error:  # noqa: BLE001
+                failed.append(str(error))
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for size in (6, 7, 8):
+        house.write("kept", spark.range(size).withColumn("part", F.col("id") % 3), "gold", "it's", ["part"])
+    stop.set()
+    reader.join()
+    assert not failed and seen <= {5, 6, 7, 8}
+    # Only the version that is shown and the one before it are left.
+    assert house["kept"].count() == 8 and len(house._versions("kept")) == 2 and list(house) == ["kept"]
+    tags = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {house.qualified('kept')}").collect()}
+    assert tags["quality"] == "gold" and spark.catalog.getTable(house.qualified("kept")).description == "it's"
+
+
+@pytest.mark.parametrize("step", ["_shown", "_show", "_drop"])
+def test_a_write_that_dies_leaves_old_or_new_rows(spark, monkeypatch, step):
+    house = Warehouse(spark, f"plan_{uuid.uuid4().hex[:8]}")
+    for size in (1, 2):
+        house.write("kept", spark.range(size))
+    with monkeypatch.context() as broken:
+        broken.setattr(Warehouse, step, lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            house.write("kept", spark.range(3))
+    assert house["kept"].count() == (3 if step == "_drop" else 2)
+    house.write("kept", spark.range(4).withColumnRenamed("id", "number"))
+    assert house["kept"].columns == ["number"] and house["kept"].count() == 4
+    assert len(house._versions("kept")) == 2
+
+
+def test_a_plain_table_becomes_the_first_version(spark):
+    house = Warehouse(spark, f"plan_{uuid.uuid4().hex[:8]}")
+    spark.range(3).write.saveAsTable(house.qualified("kept"))
+    house.write("kept", house["kept"].where("id > 0"))
+    assert house["kept"].count() == 2 and list(house) == ["kept"]
