@@ -47,9 +47,9 @@ def test_orphans(make):
 
 
 def test_orphans_in_one_pass(spark, make, tmp_path):
-    fact = [("a", "1", 1), ("a", "2", 1), (None, "x", 2), ("c", None, 2), ("a", "01", 9)]
+    fact = [("a", "1", 1), ("a", "2", 1), (None, "x", 2), ("c", None, 2), ("a", "01", 9), (None, "0", None), (None, "", 0)]
     make(fact, "k string, n string, m int").write.parquet(str(tmp_path / "fact"))
-    make([("a", 1, 1), ("b", 2, 2)], "name string, number int, other long").write.parquet(str(tmp_path / "dim"))
+    make([("a", 1, 1), ("b", 2, 2), (None, None, None)], "name string, number int, other long").write.parquet(str(tmp_path / "dim"))
     rows, dim = spark.read.parquet(str(tmp_path / "fact")), spark.read.parquet(str(tmp_path / "dim"))
     checks = {
         "name": (rows, dim, "k", "name"), "number": (rows, dim, "n", "number"), "other": (rows, dim, "m", "other"),
@@ -57,7 +57,7 @@ def test_orphans_in_one_pass(spark, make, tmp_path):
     }
     report = orphan_report(checks)
     assert {r.check_name: (r.orphan_keys, r.orphan_rows) for r in report.collect()} == {
-        "name": (1, 1), "number": (1, 1), "other": (1, 1), "none": (0, 0), "itself": (0, 0),
+        "name": (1, 1), "number": (3, 3), "other": (2, 2), "none": (0, 0), "itself": (0, 0),
     }
     three = orphan_report({name: checks[name] for name in ("name", "number", "other")})
     plan = three._jdf.queryExecution().executedPlan().toString()
