@@ -470,3 +470,13 @@ def test_rare_short_and_sign_filled_terms(make):
     texts = ["a rareslur", "such scvm", "such scumm", "an id!ot", "an i.d.i.o.t", "(an id*ot)", "a well-known one", "i d i o t"]
     got = toxicity.score(make(list(enumerate(texts)), "doc_id long, text string"), model).collect()
     assert [r.toxicity >= 0.5 for r in sorted(got)] == [True] * 6 + [False] * 2
+
+
+def test_ends_of_texts_rarer_than_the_core(make):
+    words = [f"w{k}" for k in range(1000)] * 4 + [f"r{k}" for k in range(100)] * 2
+    rows = [(k, " ".join(words)) for k in range(3)]
+    model, _ = class_lm.train(make(rows, "doc_id long, text string").select("text"))
+    assert model.tokens == 3 * (len(words) + 1)
+    # Most of the words are in the core and more frequent than the ends of the texts.
+    scored = class_lm.score_corpus(make([(k, t) for k, (_, t) in enumerate(rows * 3)], "doc_id long, text string")).collect()
+    assert len(scored) == 9 and all(math.isfinite(r.score) and r.score < 0 for r in scored)
