@@ -386,9 +386,13 @@ def jaccard_components(
     ties = joined.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)
     final = connected_components(ties, "a", "b")
 
-    labelled = classes.join(final, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = labelled.groupBy("root").agg(F.min("smallest").alias("component_id"))
-    labels = labelled.join(least, "root").select("node", "component_id")
+    # A component's least id reaches its members over salted keys, since one component may hold a third of all classes.
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    members = stored(classes.join(final, "node").select("node", "smallest", "root"), "jaccard-labelled")
+    least = members.groupBy("root").agg(F.min("smallest").alias("component_id")).select("root", "component_id", salts)
+    members = members.withColumn("salt", F.pmod("node", F.lit(SALTS)).cast("int")).join(least, ["root", "salt"])
+    labels = classes.join(members.select("node", "component_id"), "node", "left")
+    labels = labels.select("node", F.coalesce("component_id", "smallest").alias("component_id"))
     known = named.join(labels, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     alone = every.where("doc_id IS NULL OR n = 0")
     return known.unionByName(
@@ -399,7 +403,21 @@ def jaccard_components(
 
 
 def keep_one_of_each_group(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """Rows of ``docs`` whose id is the smallest of their component; rows without id or without words stay."""
-    found = jaccard_components(docs, width, percent)
-    gone = stored(found.where("doc_id != component_id").select("doc_id").distinct(), "jaccard-gone")
-    return docs.join(gone, "doc_id", "left_anti")
+    """``docs`` without the rows that link to a row of a smaller id, directly or over others.
+
+    Of each component the row with the smallest id stays, of repeated rows one. Rows are told apart by a number and not
+    by id, so another text of a repeated id is not touched. Rows without id or without words stay. An empty table gives
+    an empty one; columns keep their order.
+    """
+    number = "row"
+    while number in docs.columns:
+        number += "_"
+    rows = stored(docs.withColumn(number, F.monotonically_increasing_id()), "jaccard-numbered")
+    ids = rows.where("doc_id IS NOT NULL")
+    found = jaccard_components(ids, width, percent, id_column=number).where("n_shingles > 0")
+    found = found.select(F.col("doc_id").alias("number"), "component_id")
+    by_id = ids.select(F.col(number).alias("number"), F.col("doc_id").cast("long").alias("id"))
+    found = stored(found.join(by_id, "number"), "jaccard-found")
+    stay = found.groupBy("component_id").agg(F.min(F.struct("id", "number")).alias("least"))
+    gone = found.join(stay.select(F.col("least.number").alias("number")), "number", "left_anti")
+    return rows.join(gone.select(F.col("number").alias(number)), number, "left_anti").drop(number)

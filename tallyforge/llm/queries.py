@@ -65,7 +65,8 @@ def op9_lexicon_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = new_index(spark).add(documents(spark, sf_dir), "documents")
+    docs = documents(spark, sf_dir)
+    found = new_index(spark, docs.count()).add(docs, "documents")
     return found.select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
     )

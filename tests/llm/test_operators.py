@@ -174,6 +174,33 @@ def test_digest_index_over_batches(make, odd, none):
     assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 2, 3, 5, 6, 7, 8, 9]
 
 
+def test_batch_added_again_keeps_what_it_kept(make, spark):
+    rows = [(k, f"text {k % 50}") for k in range(200)] + [(199, "text 49"), (None, "alone"), (None, "alone")]
+    batch, index = make(rows, "doc_id long, text string"), new_index(spark)
+    index.add(make([(5, "text 0")], "doc_id long, text string"), "zero").count()
+
+    def kept(parts, to):
+        got = to.add(batch.repartition(parts, "text"), "one").collect()
+        assert len(got) == len(rows)
+        return sorted(((r.doc_id or -1, r.keep_id) for r in got if r.kept), key=str)
+
+    first = kept(2, index)
+    assert len(first) == 50 and (-1, None) in first
+    assert kept(3, index) == first and kept(7, index) == first and index.table().count() == 51
+    smaller = index.compacted(buckets=3)
+    assert kept(5, smaller) == first and smaller.table().count() == 51
+
+
+def test_near_copy_stage_leaves_other_texts_of_a_repeated_id(make):
+    one = "a b c d e f g h i j k l m n o p q r s t u v w x"
+    rows = [(1, one), (5, one + " y"), (5, "wholly other words that nobody else has"), (7, one), (7, one), (None, one), (8, ""), (9, None)]
+    kept = jaccard_join.keep_one_of_each_group(make(rows, "doc_id long, text string").withColumn("row", F.lit("own")))
+    assert kept.columns == ["doc_id", "text", "row"] and {r.row for r in kept.collect()} == {"own"}
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == sorted(
+        [(1, one), (5, "wholly other words that nobody else has"), (0, one), (8, ""), (9, "")]
+    )
+
+
 def test_repeated_row_is_kept_once(make):
     rows = make([(1, "a", 1), (1, "a", 1), (1, "b", 2), (0, "a", 3), (None, "n", 4), (None, "n", 4)], "doc_id long, text string, x int")
     assert sorted((r.doc_id or 0, r.text) for r in deduplicate(rows).collect()) == [(0, "n"), (1, "a"), (1, "b")]
