@@ -36,10 +36,10 @@ from tallyforge.llm.corpus import mix, shingle_sets, stored, text_pieces, window
 
 WIDTH = 5
 PERCENT = 75
-# Most shingles that are known as frequent, and how often a task must meet one within CHUNK shingles to report it
-# (in proportion, at least twice, within fewer).
+# Most shingles that are known as frequent, and in how many different sets among CHUNK shingles a task must meet one to
+# report it: a shingle of few sets then stands first in a set's order also where each task meets it seldom.
 FREQUENT = 1 << 17
-REPORTED, CHUNK = 8, 1 << 21
+REPORTED, CHUNK = 2, 1 << 21
 # Sets above this size are never light.
 LIGHT_MOST = 12
 # Posting rows for each bucket; salts of a frequent shingle's list; posting rows that a task gathers before it sends.
@@ -103,24 +103,27 @@ def _signed(values: Iterable[int] | np.ndarray) -> pa.Array:
 
 
 def _describe(width: int):
-    """Rows of every document (kind 0: id, set code, size) and of shingles met often (kind 1: shingle, count).
+    """Rows of every document (kind 0: id, set code, size) and of shingles met often (kind 1: shingle, count of sets).
 
-    Rows of kind 2 hold the shingles and distinct shingles of a chunk, for the mean list length.
+    Rows of kind 2 hold the shingles and distinct shingles of a chunk, for the mean list length. Equal sets of a chunk
+    count once, since they are one class.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
+        seen: set[int] = set()
         count = 0
 
         def report() -> Iterator[pa.RecordBatch]:
             nonlocal count
             if held:
                 found, times = np.unique(np.concatenate(held), return_counts=True)
-                often = times >= max(2, REPORTED * count // CHUNK)
+                often = times >= REPORTED
                 keys, ns = [*found[often], len(found)], [*times[often], count]
                 kinds = [*[1] * int(often.sum()), 2]
                 yield _table(kinds, [None] * len(kinds), np.array(keys, dtype=np.uint64), ns)
             held.clear()
+            seen.clear()
             count = 0
 
         for batch in batches:
@@ -129,8 +132,11 @@ def _describe(width: int):
                 ids = batch.column(0).slice(piece.first, piece.last - piece.first)
                 codes = np.array([set_code(s) if len(s) else 0 for s in sets], dtype=np.uint64)
                 yield _table([0] * len(sets), ids, codes, [len(s) for s in sets], list(map(sketch, sets)))
-                held.extend(sets)
-                count += sum(map(len, sets))
+                for code, s in zip(codes.tolist(), sets, strict=True):
+                    if code not in seen:
+                        seen.add(code)
+                        held.append(s)
+                        count += len(s)
                 if count >= CHUNK:
                     yield from report()
         yield from report()
