@@ -40,13 +40,13 @@ WHERE s_nationkey = n_nationkey AND n_regionkey = r_regionkey
 SELECT l_orderkey, l_linenumber, o_custkey AS entity_id,
        CAST(l_shipdate AS DATE) AS d,
        CAST(year(l_shipdate) AS INT) AS fy, 'Q' || quarter(l_shipdate) AS fq, CAST(month(l_shipdate) AS INT) AS fm,
-       CASE l_returnflag || l_linestatus
-         WHEN 'RO' THEN 'Revenue' WHEN 'AO' THEN 'COGS' WHEN 'NO' THEN 'OpEx' ELSE 'CF' END AS kind,
+       CASE WHEN l_linestatus = 'F' THEN 'CF' WHEN l_returnflag = 'R' THEN 'Revenue'
+         WHEN l_returnflag = 'A' THEN 'COGS' WHEN l_returnflag = 'N' THEN 'OpEx' ELSE 'Unassigned' END AS kind,
        CASE l_returnflag || l_linestatus
          WHEN 'RF' THEN 'CF_OPS' WHEN 'AF' THEN 'CF_INV' WHEN 'NF' THEN 'CF_FIN' END AS flow,
        CASE o_orderpriority
          WHEN '1-URGENT' THEN 'Actual' WHEN '2-HIGH' THEN 'Budget' WHEN '3-MEDIUM' THEN 'Forecast'
-         WHEN '4-NOT SPECIFIED' THEN 'Upside' WHEN '5-LOW' THEN 'Downside' END AS scenario_name,
+         WHEN '4-NOT SPECIFIED' THEN 'Upside' WHEN '5-LOW' THEN 'Downside' ELSE 'Unassigned' END AS scenario_name,
        CAST(l_extendedprice AS DECIMAL(18,2)) AS amount_usd
 FROM x_line JOIN orders ON l_orderkey = o_orderkey
 """,

@@ -31,14 +31,17 @@ from tallyforge.plans import metrics
 from tallyforge.plans.medallion import GOLD_TABLES, TableSpec
 from tallyforge.sources.feeds import INGESTED_AT, SOURCE_FILE, Feed
 
-# Fixed values of the mapping below.
+# Fixed values of the mapping below. Kinds that the data may have beside these get OTHER in their place.
+OTHER, UNASSIGNED = "?", "Unassigned"
 ACCOUNTS = {
     "RO": ("Revenue", "REV_PROD"),
     "AO": ("COGS", "COGS_MAT"),
     "NO": ("OpEx", "OPEX_SGA"),
+    "?O": (UNASSIGNED, UNASSIGNED),
     "RF": ("CF", "CF_OPS"),
     "AF": ("CF", "CF_INV"),
     "NF": ("CF", "CF_FIN"),
+    "?F": ("CF", UNASSIGNED),
 }
 SCENARIOS = {
     "1-URGENT": "Actual",
@@ -46,6 +49,7 @@ SCENARIOS = {
     "3-MEDIUM": "Forecast",
     "4-NOT SPECIFIED": "Upside",
     "5-LOW": "Downside",
+    OTHER: UNASSIGNED,
 }
 ORDER_STATUS = {"O": "Open", "F": "Shipped", "P": "Cancelled"}
 AFTERMARKET_TYPES = ["PROMO", "SMALL"]
@@ -71,6 +75,22 @@ def _lookup(value: Column, table: Mapping[str, str]) -> Column:
     return out
 
 
+def _listed_account() -> Column:
+    """Account of a line: finished lines are cash, all others accruals; null and unknown flags count as OTHER.
+
+    Every line has one of ACCOUNTS, so the join with the inline dimension loses none.
+    """
+    flag = F.col("l_returnflag")
+    known = F.when(flag.isin("R", "A", "N"), flag).otherwise(F.lit(OTHER))
+    return F.concat(known, F.when(F.col("l_linestatus") == "F", F.lit("F")).otherwise(F.lit("O")))
+
+
+def _listed_scenario() -> Column:
+    """Scenario of an order: its priority, or OTHER where that is null or unknown."""
+    priority = F.col("o_orderpriority")
+    return F.when(priority.isin(list(SCENARIOS)), priority).otherwise(F.lit(OTHER))
+
+
 def _small_table(spark: SparkSession, rows: Sequence[tuple[str, ...]], names: str) -> DataFrame:
     # An inline table has a known size, so a join with it is planned as a broadcast.
     values = ", ".join("(" + ", ".join(f"'{v}'" for v in row) + ")" for row in rows)
@@ -242,8 +262,8 @@ class SampleTables(Mapping):
             F.col("l_orderkey"),
             F.col("l_linenumber"),
             F.col("o_custkey").alias("entity_id"),
-            F.concat("l_returnflag", "l_linestatus").alias("account_id"),
-            F.col("o_orderpriority").alias("scenario_id"),
+            _listed_account().alias("account_id"),
+            _listed_scenario().alias("scenario_id"),
             date_key(F.col("l_shipdate")).alias("time_id"),
             _money(F.col("l_extendedprice")).alias("amount_usd"),
         )
