@@ -280,7 +280,9 @@ DIGEST_NAMES = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
 def encoded_digests(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     """doc_id, n_tokens, and SHA-256 of the comma-joined ids and of the text decoded from them.
 
-    The same as ``encode`` followed by ``decode``, in one pass that sends no ids.
+    The same as ``encode`` followed by ``decode``, in one pass that sends no ids. Null and empty texts have no ids and the
+    digests of the empty string; repeated rows give repeated rows, an empty table none; a null id stays null; other columns
+    are not read.
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

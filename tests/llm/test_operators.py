@@ -160,6 +160,21 @@ def test_bpe_keeps_columns_and_rows(odd, none):
     assert prefix_bpe.encode(none).count() == 0
 
 
+def test_bpe_equals_the_library_while_tries_and_memos_start_anew(monkeypatch, none):
+    for name, most in (("MOST_NODES", 60), ("MOST_SEGMENTS", 5), ("MOST_PAIRS", 9)):
+        monkeypatch.setattr(prefix_bpe, name, most)
+    own = prefix_bpe.PrefixBpe(public_tokenizers.path(prefix_bpe.TOKENIZER))
+    library = Tokenizer.from_file(public_tokenizers.path(prefix_bpe.TOKENIZER))
+    rng = random.Random(5)
+    words = ["aaaa", "aaaaaaa", "the", "then", "they're", "naïve", "日本語", "x" * 70, "12345", "…!?", "\n\n", "<|endoftext|>"]
+    for _ in range(40):
+        texts = [" ".join(rng.choice(words) + rng.choice(["", ",", "ing", "a" * rng.randrange(9)]) for _ in range(12)) for _ in range(3)]
+        want = [library.encode(text, add_special_tokens=False).ids for text in texts]
+        assert own.encode_batch(texts) == want
+        assert [own.decode(ids) for ids in want] == texts
+    assert prefix_bpe.encoded_digests(none).count() == 0
+
+
 def test_digest_index_over_batches(make, odd, none):
     index = new_index(odd.sparkSession)
     first = index.add(make([(1, "a"), (3, "a"), (2, "b"), (2, "b"), (None, None), (9, "")], "doc_id long, text string"), "one")
