@@ -522,3 +522,58 @@ def test_ends_of_texts_rarer_than_the_core(make):
     # Most of the words are in the core and more frequent than the ends of the texts.
     scored = class_lm.score_corpus(make([(k, t) for k, (_, t) in enumerate(rows * 3)], "doc_id long, text string")).collect()
     assert len(scored) == 9 and all(math.isfinite(r.score) and r.score < 0 for r in scored)
+
+
+def test_words_outside_the_broadcast_table_have_classes(make, monkeypatch):
+    # 3000 words of two kinds that alternate; the table and the core hold a few of them.
+    monkeypatch.setattr(class_lm, "TABLED", 300)
+    monkeypatch.setattr(class_lm, "CORE", 120)
+    rng = np.random.default_rng(5)
+    draw = lambda: int(min(1499, rng.pareto(0.6) * 3))
+    texts = [" ".join(f"{'ab'[k % 2]}{draw()}" for k in range(60)) for _ in range(400)]
+    texts += ["z1 z2 z3 z1 z2 z3", "", "new words only", "z2 new z2 a1"]
+    frame = make(list(enumerate(texts)), "doc_id long, text string")
+    model, words = class_lm.train(make([(t,) for t in texts[:402]], "text string"))
+    assert len(model.table.codes) <= 300
+    column = pa.array(texts)
+    codes = [c for _, _, c, _ in class_lm._sequences(column)]
+    trained = np.concatenate([c for _, _, c, _ in class_lm._sequences(column.slice(0, 402))])
+    found = words.toArrow().to_pandas()
+    own = dict(zip(found["code"].to_numpy(np.int64).view(np.uint64).tolist(), zip(found["n"], found["class"])))
+    table = dict(zip(model.table.codes.tolist(), model.labels.tolist()))
+    label = {c: table.get(c, int(k) if k == k else class_lm.CLASSES) for c, (_, k) in own.items()}
+    # Each word met twice has a class of its own kind, in the table or not.
+    assert sum(n > 1 and c not in table for c, (n, _) in own.items()) > 300
+    assert all((n > 1) == (label[c] < class_lm.CLASSES) for c, (n, _) in own.items())
+    names = {int(c): w for w, c in zip(" ".join(texts).split(), [c for s in codes for c in s if c != class_lm.END])}
+    kinds = collections.defaultdict(collections.Counter)
+    for c, (n, _) in own.items():
+        if n > 1 and c not in table and names[c][0] in "ab":
+            kinds[label[c]][names[c][0]] += 1
+    assert sum(max(k.values()) for k in kinds.values()) > 0.97 * sum(map(sum, map(collections.Counter.values, kinds.values())))
+    # Transitions, weights of classes and scores are those of a count over all words with these classes.
+    width = class_lm.CLASSES + 1
+    steps, before = np.zeros((width, width)), int(class_lm.END)
+    for c in trained.tolist():
+        steps[label[before], label[c]] += 1
+        before = c
+    sizes = np.bincount(list(label.values()), minlength=width)
+    assert (model.class_words == sizes).all() and model.class_tokens.sum() == len(trained)
+    used = (sizes > 0) | (np.arange(width) == class_lm.CLASSES)
+    steps = (steps + class_lm.TRANSITION_PRIOR) * used
+    steps = np.log10(np.maximum(steps / steps.sum(1, keepdims=True), 1e-300))
+    assert np.allclose(model.transition, steps)
+    got = {r.doc_id: r for r in class_lm.score(frame, model, words).collect()}
+    start = 0
+    flat = np.concatenate(codes).tolist()
+    for k in range(len(texts)):
+        end = flat.index(int(class_lm.END), start) + 1
+        score, base, last = 0.0, 0.0, label[int(class_lm.END)]
+        for c in flat[start:end]:
+            n, here = own.get(c, (0, 0))[0], label.get(c, class_lm.CLASSES)
+            score += steps[last, here] + model.emission(np.array([n]), np.array([here]))[0]
+            base += math.log10((n + 1) / (model.tokens + model.words + 1))
+            last = here
+        assert got[k].score == pytest.approx(score) and got[k].base_score == pytest.approx(base)
+        assert got[k].n_known == sum(c in own for c in flat[start:end])
+        start = end
