@@ -2,7 +2,9 @@
 
 The encoding of a prefix is fixed by its last token and the encoding of what stands before that token. So each node of
 a trie of words needs one state, its last token: the one token that ends there and may stand behind the last token of
-the node where it begins. Two tokens may stand side by side when merging their joined bytes gives the same two tokens.
+the node where it begins. Two tokens may stand side by side when merging their joined bytes gives the same two tokens;
+this is read off the merges that built them, undone from the last one on: none of the parts that meet at the seam may
+merge before the merges that made them.
 Distinct words are inserted, states are propagated depth first, and a prefix shared by many words is encoded once.
 
 Tries and caches belong to a task, are bounded, and are started anew when full.
@@ -58,14 +60,21 @@ class PrefixBpe:
         self.bytes_of |= {number: text.encode() for text, number in self.special.items()}
         self.decimal = {number: str(number) for number in self.bytes_of}
         self.split = regex.compile(public_tokenizers.PATTERN)
+        self.plain = r"| ?\p{L}+|" in public_tokenizers.PATTERN
         self.cut_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        # Longest token for each ending of three bytes.
-        self.reach: dict[bytes, int] = {}
-        for token in self.ids:
-            if len(token) > self.reach.get(token[-3:], 3):
-                self.reach[token[-3:]] = len(token)
+        self.length = {number: len(token) for token, number in self.ids.items()} | {-1: 0}
+        self.longest = max(self.length.values())
+        # Rank of the merge of two tokens; of a token: rank of the merge that makes it (a byte: -1) and its two parts.
+        self.seam = {self.ids[a] << 32 | self.ids[b]: rank for (a, b), rank in self.ranks.items()}
+        self.made = dict.fromkeys(self.length, -1)
+        self.parts: dict[int, tuple[int, int]] = {}
+        for (a, b), rank in self.ranks.items():
+            token = self.ids[a + b]
+            self.made[token], self.parts[token] = rank, (self.ids[a], self.ids[b])
+        # With several ways to make a token its parts depend on what stands around.
+        self.one_way = len(self.parts) == len(self.ranks)
         self.pairs: dict[int, bool] = {}
-        self.segments = {text: [number] for text, number in self.special.items()}
+        self.segments = {text: (number,) for text, number in self.special.items()}
         self._new_trie()
 
     def _new_trie(self) -> None:
@@ -91,24 +100,50 @@ class PrefixBpe:
             if len(self.pairs) >= MOST_PAIRS:
                 self.pairs.clear()
             own = self.bytes_of[right]
-            parts = [own] if left < 0 else [self.bytes_of[left], own]
-            found = self.pairs[key] = self._merged(b"".join(parts)) == parts
+            if left < 0:
+                found = self._merged(own) == [own]
+            elif self.one_way and self._may_follow(-1, left) and self._may_follow(-1, right):
+                found = self._seam_holds(left, right)
+            else:
+                found = self._merged(self.bytes_of[left] + own) == [self.bytes_of[left], own]
+            self.pairs[key] = found
         return found
 
-    def _state(self, word: bytes, end: int, last: list[int], nodes) -> tuple[int, int]:
-        """Last token of ``word[:end]`` and its length; ``nodes`` are the places of the prefixes in ``last``."""
-        ids = self.ids
-        # Most often the token before grows by a byte.
-        before = last[nodes[end - 1]]
-        guess = len(self.bytes_of[before]) + 1 if before >= 0 else 1
+    def _seam_holds(self, left: int, right: int) -> bool:
+        """Whether no merge across the seam of two tokens comes before the merges beside it; equal ranks merge leftmost first."""
+        seam, made, parts = self.seam, self.made, self.parts
+        limit = 1 << 60
+        while True:
+            if seam.get(left << 32 | right, limit) < limit:
+                return False
+            a, b = made[left], made[right]
+            if a > b:
+                limit, left = a, parts[left][1]
+            elif b >= 0:
+                limit, right = b + 1, parts[right][0]
+            else:
+                return True
+
+    def _state(self, word: bytes, end: int, last: list[int]) -> tuple[int, int]:
+        """Last token of ``word[:end]`` and its length; ``last`` has the last tokens of the shorter prefixes.
+
+        Just one token fits, so the order of trial is free: the token before grown by a byte, then short ones first.
+        """
+        ids, pairs = self.ids, self.pairs
+        guess = self.length[last[end - 1]] + 1
         token = ids.get(word[end - guess : end])
-        if token is not None and self._may_follow(last[nodes[end - guess]], token):
-            return token, guess
-        most = self.reach.get(word[end - 3 : end], 3) if end >= 3 else end
-        for size in range(min(end, most), 0, -1):
+        if token is not None:
+            left = last[end - guess]
+            fits = pairs.get(left << 32 | token)
+            if fits or fits is None and self._may_follow(left, token):
+                return token, guess
+        for size in range(1, min(end, self.longest) + 1):
             token = ids.get(word[end - size : end])
-            if token is not None and self._may_follow(last[nodes[end - size]], token):
-                return token, size
+            if token is not None:
+                left = last[end - size]
+                fits = pairs.get(left << 32 | token)
+                if fits or fits is None and self._may_follow(left, token):
+                    return token, size
         raise ValueError("the vocabulary has no token for a byte")
 
     def _propagate(self, words: list[bytes]) -> dict[bytes, int]:
@@ -119,15 +154,24 @@ class PrefixBpe:
         child, last, back, found = self.child, self.last, self.back, {}
         for word in sorted(words):
             node, nodes = 0, [0]
-            for end, byte in enumerate(word, 1):
-                key = node << 8 | byte
-                node = child.get(key, 0)
-                if not node:
-                    token, size = self._state(word, end, last, nodes)
-                    node = child[key] = len(last)
+            for byte in word:
+                below = child.get(node << 8 | byte)
+                if below is None:
+                    break
+                node = below
+                nodes.append(node)
+            if len(nodes) <= len(word):
+                # Below a new node all are new.
+                tokens = [last[at] for at in nodes]
+                for end in range(len(nodes), len(word) + 1):
+                    token, size = self._state(word, end, tokens)
+                    below = len(last)
+                    child[node << 8 | word[end - 1]] = below
                     last.append(token)
                     back.append(nodes[end - size])
-                nodes.append(node)
+                    nodes.append(below)
+                    tokens.append(token)
+                    node = below
             found[word] = node
         return found
 
@@ -140,9 +184,9 @@ class PrefixBpe:
         return out
 
     def _ids_of_long(self, word: bytes) -> list[int]:
-        last, sizes, places = [-1], [0], range(len(word) + 1)
+        last, sizes = [-1], [0]
         for end in range(1, len(word) + 1):
-            token, size = self._state(word, end, last, places)
+            token, size = self._state(word, end, last)
             last.append(token)
             sizes.append(size)
         out, end = [], len(word)
@@ -158,10 +202,14 @@ class PrefixBpe:
         parts = text.split(" ")
         return [parts[0], *[" " + part for part in parts[1:]]] if parts[0] else [" " + part for part in parts[1:]]
 
+    def _one_word(self, segment: str) -> bool:
+        """Whether the split pattern surely leaves a segment whole: ASCII letters behind a blank or none."""
+        return self.plain and segment.isascii() and (segment[1:] if segment[:1] == " " else segment).isalpha()
+
     def encode_batch(self, texts: list[str]) -> list[list[int]]:
         if len(self.segments) > MOST_SEGMENTS:
             # A text's ordinary segments never hold the string of a special token.
-            self.segments = {text: [number] for text, number in self.special.items()}
+            self.segments = {text: (number,) for text, number in self.special.items()}
         if len(self.last) > MOST_NODES:
             self._new_trie()
         cut: list[list[str]] = []
@@ -174,14 +222,16 @@ class PrefixBpe:
             else:
                 cut.append(self._cut(text))
         known = self.segments
-        pieces = {s: [w.encode() for w in self.split.findall(s)] for s in set().union(*cut).difference(known)}
+        new = set().union(*cut).difference(known)
+        pieces = {s: [s.encode()] if self._one_word(s) else [w.encode() for w in self.split.findall(s)] for s in new}
         nodes = self._propagate(list({w for found in pieces.values() for w in found if len(w) <= LONGEST_KEPT}))
         for segment, found in pieces.items():
+            # Tuples of numbers are soon left alone by the collection of cycles.
             if len(found) == 1 and found[0] in nodes:
-                known[segment] = self._ids_at(nodes[found[0]])
+                known[segment] = tuple(self._ids_at(nodes[found[0]]))
             else:
                 parts = (self._ids_at(nodes[w]) if w in nodes else self._ids_of_long(w) for w in found)
-                known[segment] = list(chain.from_iterable(parts))
+                known[segment] = tuple(chain.from_iterable(parts))
         return [list(chain.from_iterable(map(known.__getitem__, row))) for row in cut]
 
     def decode(self, ids: list[int]) -> str:

@@ -577,3 +577,23 @@ def test_words_outside_the_broadcast_table_have_classes(make, monkeypatch):
         assert got[k].score == pytest.approx(score) and got[k].base_score == pytest.approx(base)
         assert got[k].n_known == sum(c in own for c in flat[start:end])
         start = end
+
+
+def test_pairs_of_tokens_are_judged_by_the_merges_that_made_them(monkeypatch):
+    own = prefix_bpe.PrefixBpe(public_tokenizers.path(prefix_bpe.TOKENIZER))
+    rng = random.Random(11)
+    tokens = sorted(own.ids.values())
+    pairs = [tuple(rng.sample(tokens, 2)) for _ in range(3000)] + [(t, t) for t in rng.sample(tokens, 500)]
+    # Cuts of real tokens and of joined ones, so that merges across the seam are met.
+    for t in rng.sample(tokens, 4000):
+        text = own.bytes_of[t] + own.bytes_of[rng.choice(tokens)]
+        cut = rng.randint(1, len(text) - 1)
+        left, right = own._merged(text[:cut])[-1], own._merged(text[cut:])[0]
+        pairs.append((own.ids[left], own.ids[right]))
+    truth = [own._merged(own.bytes_of[a] + own.bytes_of[b]) == [own.bytes_of[a], own.bytes_of[b]] for a, b in pairs]
+    assert 500 < sum(truth) < len(truth) - 500
+    merged, calls = own._merged, collections.Counter()
+    monkeypatch.setattr(own, "_merged", lambda text: calls.update([text]) or merged(text))
+    assert [own._may_follow(a, b) for a, b in pairs] == truth
+    # Bytes are merged once for each token and not for each pair.
+    assert set(calls) <= set(own.ids) and max(calls.values()) == 1
