@@ -5,20 +5,25 @@ a trie of words needs one state, its last token: the one token that ends there a
 the node where it begins. Two tokens may stand side by side when merging their joined bytes gives the same two tokens;
 this is read off the merges that built them, undone from the last one on: none of the parts that meet at the seam may
 merge before the merges that made them.
-Distinct words are inserted, states are propagated depth first, and a prefix shared by many words is encoded once.
+The trie is that of the sorted distinct new words of a group of texts. A node is a prefix and stands at the first word
+that has it; the words that share it follow. States are propagated level by level with numpy for all nodes of a level,
+so a prefix shared by many words is encoded once. The state is first guessed from the state above and the byte, as met
+before, and kept if the pair of tokens is known to fit; what is left is decided one by one.
 
-Tries and caches belong to a task, are bounded, and are started anew when full.
+Tries and memos belong to a task and are bounded; full memos are started anew.
 """
 
 from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from hashlib import sha256
 from itertools import chain
+from typing import Any
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
@@ -30,11 +35,13 @@ from tallyforge.llm.corpus import PIECE_BYTES, small_batches
 
 TOKENIZER = "byte_bpe_50k.json"
 MOST_NODES, MOST_SEGMENTS, MOST_PAIRS = 400_000, 250_000, 300_000
-# Words above this many bytes are walked without being kept in the trie.
+# Words above this many bytes are walked outside the trie.
 LONGEST_KEPT = 48
 
 _TWO_BLANKS = re.compile(r"\s\s")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
+# Letters up to U+00FF behind a blank or none, and at most one mark: what the split pattern surely cuts between these two.
+_WORD = re.compile("( ?[A-Za-zªµºÀ-ÖØ-öø-ÿ]+)([.,;:]?)")
 
 
 def byte_letters() -> dict[str, int]:
@@ -44,6 +51,28 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
+class _Slots:
+    """Values of 64-bit keys by arrays, one key to a slot; a later key takes the place of an earlier one."""
+
+    def __init__(self, most: int) -> None:
+        self.shift = np.uint64(64 - most.bit_length())
+        self.keys = np.full(1 << most.bit_length(), np.iinfo(np.int64).min)
+        self.values = np.zeros(len(self.keys), np.int32)
+
+    def _at(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).view(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The value of each key, -1 where it is not known."""
+        at = self._at(keys)
+        return np.where(self.keys[at] == keys, self.values[at], -1)
+
+    def put(self, keys: list[int], values: list[int]) -> None:
+        keys = np.array(keys, np.int64)
+        at = self._at(keys)
+        self.keys[at], self.values[at] = keys, values
+
+
 class PrefixBpe:
     """Encoder and decoder of one vocabulary file."""
 
@@ -74,13 +103,14 @@ class PrefixBpe:
         # With several ways to make a token its parts depend on what stands around.
         self.one_way = len(self.parts) == len(self.ranks)
         self.pairs: dict[int, bool] = {}
-        self.segments = {text: (number,) for text, number in self.special.items()}
-        self._new_trie()
-
-    def _new_trie(self) -> None:
-        # Node 0 is the root. Of a node: last token, node where that token begins; children by node and byte.
-        self.child: dict[int, int] = {}
-        self.last, self.back = [-1], [0]
+        # Bytes of each token; the last cell is that of -1, the start.
+        self.sizes = np.zeros(max(self.bytes_of) + 2, np.int64)
+        for number, size in self.length.items():
+            self.sizes[number] = size
+        # Token met before behind a last token and a byte; pairs that fit.
+        self.steps, self.fits = _Slots(MOST_PAIRS), _Slots(MOST_PAIRS)
+        self.segments: dict[str, tuple[int, ...]] = {}
+        self.shown: dict[str, tuple[str, bytes]] = {}
 
     def _merged(self, text: bytes) -> list[bytes]:
         """Merge by rank until nothing is left to merge; only for two joined tokens."""
@@ -146,42 +176,70 @@ class PrefixBpe:
                     return token, size
         raise ValueError("the vocabulary has no token for a byte")
 
-    def _propagate(self, words: list[bytes]) -> dict[bytes, int]:
-        """Insert the words and set the states of new nodes; the node of each word.
-
-        Sorted words visit the trie depth first, a parent before its children.
-        """
-        child, last, back, found = self.child, self.last, self.back, {}
-        for word in sorted(words):
-            node, nodes = 0, [0]
-            for byte in word:
-                below = child.get(node << 8 | byte)
-                if below is None:
-                    break
-                node = below
-                nodes.append(node)
-            if len(nodes) <= len(word):
-                # Below a new node all are new.
-                tokens = [last[at] for at in nodes]
-                for end in range(len(nodes), len(word) + 1):
-                    token, size = self._state(word, end, tokens)
-                    below = len(last)
-                    child[node << 8 | word[end - 1]] = below
-                    last.append(token)
-                    back.append(nodes[end - size])
-                    nodes.append(below)
-                    tokens.append(token)
-                    node = below
-            found[word] = node
-        return found
-
-    def _ids_at(self, node: int) -> list[int]:
-        out = []
-        while node:
-            out.append(self.last[node])
-            node = self.back[node]
-        out.reverse()
-        return out
+    def _propagate(self, words: list[bytes]) -> np.ndarray:
+        """Last tokens of the prefixes of sorted distinct words: a row for each length from 0, a column for each word."""
+        count = len(words)
+        lengths = np.fromiter(map(len, words), np.int64, count)
+        depth = int(lengths.max())
+        letters = np.array(words, f"S{depth}").view(np.uint8).reshape(count, depth)
+        # Bytes that a word shares with the word before; its further prefixes are new nodes.
+        shared = np.zeros(count, np.int64)
+        same = letters[1:] == letters[:-1]
+        shared[1:] = np.minimum(np.where(same.all(1), depth, same.argmin(1)), np.minimum(lengths[1:], lengths[:-1]))
+        letters = letters.T.astype(np.int64)
+        last = np.full((depth + 1, count), -1, np.int64)
+        rows = np.arange(count)
+        for end in range(1, depth + 1):
+            rows = rows[lengths[rows] >= end]
+            new = shared[rows] < end
+            nodes = rows[new]
+            before = last[end - 1, nodes]
+            steps = before << 8 | letters[end - 1, nodes]
+            tokens = self.steps.get(steps)
+            sizes = self.sizes[tokens]
+            # The last token and the byte tell the bytes of a token no longer than both.
+            told = (tokens >= 0) & (sizes <= self.sizes[before] + 1)
+            sizes[~told] = 0
+            left = last[end - sizes, nodes]
+            fits = told & (self.fits.get(left << 32 | tokens) > 0)
+            open_steps, found, pairs = [], [], []
+            for k in np.flatnonzero(~fits).tolist():
+                states, token, size = last[:end, nodes[k]].tolist(), int(tokens[k]), int(sizes[k])
+                if not (told[k] and self._may_follow(states[end - size], token)):
+                    token, size = self._state(words[nodes[k]], end, states)
+                    tokens[k] = token
+                open_steps.append(steps[k])
+                found.append(token)
+                pairs.append(states[end - size] << 32 | token)
+            if found:
+                self.steps.put(open_steps, found)
+                self.fits.put(pairs, [1] * len(pairs))
+            last[end, rows] = tokens[np.cumsum(new) - 1]
+        return last
+
+    def _ids_of_words(self, words: list[bytes]) -> Iterator[list[int]]:
+        """Ids of each of some sorted distinct words, through tries of at most ``MOST_NODES`` nodes."""
+        step = max(1, MOST_NODES // max(map(len, words), default=1))
+        for first in range(0, len(words), step):
+            part = words[first : first + step]
+            last = self._propagate(part)
+            ends = np.fromiter(map(len, part), np.int64, len(part))
+            counts = np.zeros(len(part), np.int64)
+            rows, columns = np.arange(len(part)), []
+            while len(rows):
+                tokens = last[ends[rows], rows]
+                columns.append((rows, tokens))
+                counts[rows] += 1
+                ends[rows] -= self.sizes[tokens]
+                rows = rows[ends[rows] > 0]
+            bounds = np.cumsum(counts)
+            ids = np.empty(bounds[-1], np.int64)
+            for k, (rows, tokens) in enumerate(columns):
+                ids[bounds[rows] - 1 - k] = tokens
+            ids, begin = ids.tolist(), 0
+            for end in bounds.tolist():
+                yield ids[begin:end]
+                begin = end
 
     def _ids_of_long(self, word: bytes) -> list[int]:
         last, sizes = [-1], [0]
@@ -202,42 +260,70 @@ class PrefixBpe:
         parts = text.split(" ")
         return [parts[0], *[" " + part for part in parts[1:]]] if parts[0] else [" " + part for part in parts[1:]]
 
-    def _one_word(self, segment: str) -> bool:
-        """Whether the split pattern surely leaves a segment whole: ASCII letters behind a blank or none."""
-        return self.plain and segment.isascii() and (segment[1:] if segment[:1] == " " else segment).isalpha()
-
-    def encode_batch(self, texts: list[str]) -> list[list[int]]:
-        if len(self.segments) > MOST_SEGMENTS:
+    def _learn(
+        self, memo: dict[str, Any], rows: list[list[str]], form: Callable[[list[int]], Any], join: Callable[[Iterable], Any]
+    ) -> None:
+        """Put into ``memo`` what its rows of segments lack: ``form`` of the ids of a word, ``join`` of the forms of several."""
+        if not memo or len(memo) > MOST_SEGMENTS:
+            memo.clear()
             # A text's ordinary segments never hold the string of a special token.
-            self.segments = {text: (number,) for text, number in self.special.items()}
-        if len(self.last) > MOST_NODES:
-            self._new_trie()
-        cut: list[list[str]] = []
+            memo.update({text: form([number]) for text, number in self.special.items()})
+        plain = _WORD.fullmatch if self.plain else lambda segment: None
+        words, several = set(), {}
+        for segment in set().union(*rows).difference(memo):
+            found = plain(segment)
+            parts = [part for part in found.groups() if part] if found else self.split.findall(segment)
+            if len(parts) == 1:
+                words.add(segment)
+            else:
+                several[segment] = parts
+        # In order of code points, which is that of the bytes.
+        words = sorted(words.union(*several.values()).difference(memo))
+        in_bytes = [word.encode() for word in words]
+        short = self._ids_of_words([word for word in in_bytes if len(word) <= LONGEST_KEPT])
+        for word, own in zip(words, in_bytes, strict=True):
+            memo[word] = form(next(short) if len(own) <= LONGEST_KEPT else self._ids_of_long(own))
+        for segment, parts in several.items():
+            memo[segment] = join([memo[part] for part in parts])
+
+    def _rows(self, texts: list[str]) -> list[list[str]]:
+        """The segments of each text."""
+        rows: list[list[str]] = []
         for text in texts:
             if any(content in text for content in self.special):
                 row: list[str] = []
                 for part in self.cut_special.split(text):
                     row.extend([part] if part in self.special else self._cut(part))
-                cut.append(row)
+                rows.append(row)
             else:
-                cut.append(self._cut(text))
-        known = self.segments
-        new = set().union(*cut).difference(known)
-        pieces = {s: [s.encode()] if self._one_word(s) else [w.encode() for w in self.split.findall(s)] for s in new}
-        nodes = self._propagate(list({w for found in pieces.values() for w in found if len(w) <= LONGEST_KEPT}))
-        for segment, found in pieces.items():
-            # Tuples of numbers are soon left alone by the collection of cycles.
-            if len(found) == 1 and found[0] in nodes:
-                known[segment] = tuple(self._ids_at(nodes[found[0]]))
-            else:
-                parts = (self._ids_at(nodes[w]) if w in nodes else self._ids_of_long(w) for w in found)
-                known[segment] = tuple(chain.from_iterable(parts))
-        return [list(chain.from_iterable(map(known.__getitem__, row))) for row in cut]
+                rows.append(self._cut(text))
+        return rows
+
+    def encode_batch(self, texts: list[str]) -> list[list[int]]:
+        rows = self._rows(texts)
+        # Tuples of numbers are soon left alone by the collection of cycles.
+        self._learn(self.segments, rows, tuple, lambda parts: tuple(chain.from_iterable(parts)))
+        return [list(chain.from_iterable(map(self.segments.__getitem__, row))) for row in rows]
+
+    def shown_batch(self, texts: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Of each text the comma-joined ids and the bytes that they decode to, both kept by segment."""
+        rows = self._rows(texts)
+        self._learn(self.shown, rows, self._show, _join_shown)
+        for row in rows:
+            yield _join_shown(map(self.shown.__getitem__, row))
+
+    def _show(self, ids: list[int]) -> tuple[str, bytes]:
+        return ",".join(map(self.decimal.__getitem__, ids)), b"".join(map(self.bytes_of.__getitem__, ids))
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", errors="replace")
 
 
+def _join_shown(parts: Iterable[tuple[str, bytes]]) -> tuple[str, bytes]:
+    ids, own = tuple(zip(*parts, strict=True)) or ((), ())
+    return ",".join(ids), b"".join(own)
+
+
 @lru_cache(maxsize=2)
 def codec(tokenizer: str) -> PrefixBpe:
     """The codec of a file name of the public tokenizers, or of a path; one for each Python worker."""
@@ -250,7 +336,7 @@ def _groups(texts: pa.Array) -> Iterator[list[str]]:
     for text in texts:
         group.append(text.as_py() or "")
         size += len(group[-1])
-        if size >= PIECE_BYTES // 8:
+        if size >= PIECE_BYTES:
             yield group
             group, size = [], 0
     if group:
@@ -315,10 +401,10 @@ def _digest(batches: Iterator[pa.RecordBatch], tokenizer: str) -> Iterator[pa.Re
         start = 0
         for group in _groups(batch.column(1)):
             counts, of_ids, of_texts = [], [], []
-            for ids in own.encode_batch(group):
-                counts.append(len(ids))
-                of_ids.append(sha256(",".join(map(own.decimal.__getitem__, ids)).encode()).hexdigest())
-                of_texts.append(sha256(own.decode(ids).encode()).hexdigest())
+            for ids, decoded in own.shown_batch(group):
+                counts.append(ids.count(",") + 1 if ids else 0)
+                of_ids.append(sha256(ids.encode()).hexdigest())
+                of_texts.append(sha256(decoded.decode("utf-8", errors="replace").encode()).hexdigest())
             columns = [pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_texts, pa.string())]
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(group)), *columns], DIGEST_NAMES)
             start += len(group)

@@ -597,3 +597,23 @@ def test_pairs_of_tokens_are_judged_by_the_merges_that_made_them(monkeypatch):
     assert [own._may_follow(a, b) for a, b in pairs] == truth
     # Bytes are merged once for each token and not for each pair.
     assert set(calls) <= set(own.ids) and max(calls.values()) == 1
+
+
+def test_bpe_states_of_a_level_are_set_together(docs, monkeypatch):
+    own = prefix_bpe.PrefixBpe(public_tokenizers.path(prefix_bpe.TOKENIZER))
+    library = Tokenizer.from_file(public_tokenizers.path(prefix_bpe.TOKENIZER))
+    texts = [r.text or "" for r in docs.collect()]
+    texts += ["a a\0 a\0\0 a\0b ab abc", "the them themes. thé thê, they're; \0", "x" * 48 + " " + "x" * 49 + ".", "", " ", "<|endoftext|>"]
+    state, calls = own._state, collections.Counter()
+    monkeypatch.setattr(own, "_state", lambda *given: calls.update(one=1) or state(*given))
+    ids = [library.encode(text, add_special_tokens=False).ids for text in texts]
+    assert own.encode_batch(texts) == ids
+    words = {w.encode() for text in texts for w in own.split.findall(text)}
+    nodes = {w[:end] for w in words if len(w) <= prefix_bpe.LONGEST_KEPT for end in range(1, len(w) + 1)}
+    # Few of them are decided one by one.
+    assert len(nodes) > 20_000 and calls["one"] < len(nodes) / 3, (calls, len(nodes))
+    shown = [(",".join(map(str, row)), text.encode()) for row, text in zip(ids, texts, strict=True)]
+    assert list(own.shown_batch(texts)) == shown
+    # All words are known now.
+    before = calls["one"]
+    assert list(own.shown_batch(texts[::-1])) == shown[::-1] and calls["one"] == before
