@@ -38,6 +38,14 @@ MOST_NODES, MOST_SEGMENTS, MOST_PAIRS = 400_000, 250_000, 300_000
 # Words above this many bytes are walked outside the trie.
 LONGEST_KEPT = 48
 
+# Letters and numbers that came after Unicode 16, the version of the tokenizers library; marks to it and here.
+_NEWER = (
+    r"\u0558\u058B-\u058C\u088F\u0C5C\u0CDC\u208F\u209D-\u209F\uA7CE-\uA7CF\uA7D2\uA7D4\uA7DD-\uA7F1\uAB6C-\uAB6D"
+    r"\U000107BB-\U000107BF\U00010940-\U00010959\U00010EC5-\U00010EEE\U00011B0A\U00011DB0-\U00011DF1\U0001246F-\U0001247F"
+    r"\U00012550-\U00012686\U00016EA0-\U00016ED3\U00016FF2-\U00016FF6\U000187F8-\U000187FF\U00018CD6-\U00018CDA"
+    r"\U00018D09-\U000191D2\U0001B123-\U0001B128\U0001B168\U0001D6A6\U0001DF1F-\U0001DF24\U0001DF2B-\U0001DFFF"
+    r"\U0001E6C0-\U0001E6FF\U0002B73A-\U0002B73F\U0002B81E\U0002CEA2-\U0002CEAD\U000323B0-\U0003FC3F"
+)
 _TWO_BLANKS = re.compile(r"\s\s")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 # Letters up to U+00FF behind a blank or none, and at most one mark: what the split pattern surely cuts between these two.
@@ -88,7 +96,8 @@ class PrefixBpe:
         self.bytes_of = {number: token for token, number in self.ids.items()}
         self.bytes_of |= {number: text.encode() for text, number in self.special.items()}
         self.decimal = {number: str(number) for number in self.bytes_of}
-        self.split = regex.compile(public_tokenizers.PATTERN)
+        known = re.sub(r"\\p\{[LN]\}", lambda kind: f"[{kind[0]}--[{_NEWER}]]", public_tokenizers.PATTERN)
+        self.split = regex.compile(known, regex.V1)
         self.plain = r"| ?\p{L}+|" in public_tokenizers.PATTERN
         self.cut_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.length = {number: len(token) for token, number in self.ids.items()} | {-1: 0}

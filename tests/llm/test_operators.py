@@ -617,3 +617,16 @@ def test_bpe_states_of_a_level_are_set_together(docs, monkeypatch):
     # All words are known now.
     before = calls["one"]
     assert list(own.shown_batch(texts[::-1])) == shown[::-1] and calls["one"] == before
+
+
+def test_bpe_knows_the_letters_that_the_library_knows():
+    own = prefix_bpe.PrefixBpe(public_tokenizers.path(prefix_bpe.TOKENIZER))
+    library = Tokenizer.from_file(public_tokenizers.path(prefix_bpe.TOKENIZER))
+    # Every code point behind a letter and a number and before a contraction.
+    points = [chr(c) for c in (*range(1, 0xD800), *range(0xE000, 0x3FFFF, 3))]
+    texts = ["".join(f"a{c}'s1{c}'ll {c}2 " for c in points[k : k + 2000]) for k in range(0, len(points), 2000)]
+    for text in texts:
+        want = [text[a:b] for _, (a, b) in library.pre_tokenizer.pre_tokenize_str(text)]
+        assert own.split.findall(text) == want
+    text = "a\U0001094a'll \ua7ce's 2\U00011de0 \U000323b0're"
+    assert own.encode_batch([text]) == [library.encode(text, add_special_tokens=False).ids]
