@@ -25,7 +25,7 @@ from tallyforge.plans.incremental import SilverVersions
 from tallyforge.plans.medallion import GOLD_TABLES
 from tallyforge.plans.questions import QUESTIONS
 from tallyforge.plans.reports import REPORTS, ReportFilter
-from tallyforge.session import scratch_path
+from tallyforge.session import scratch_path, stored
 from tallyforge.sources.feeds import FEEDS
 from tallyforge.sources.files import deliver_csv, read_csv, write_csv
 from tallyforge.sources.testdata import SampleTables, bronze_rows
@@ -145,15 +145,21 @@ def silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = FEEDS["orders"]
     root = scratch_path(spark, "incremental")
     house = Warehouse(spark, root.rsplit("/", 1)[1].replace("-", "_"), f"{root}/tables")
-    text = _as_text(to_silver(bronze_rows(SampleTables(spark, sf_dir), feed), feed))
+    rows = _as_text(to_silver(bronze_rows(SampleTables(spark, sf_dir), feed), feed))
     late = F.pmod(F.hash(feed.key), F.lit(3))
-    draft = text.withColumn("net_amount_usd", F.when(late == 1, F.lit("0.01")).otherwise(F.col("net_amount_usd")))
     deliveries = feed_deliveries(spark, feed, f"{root}/bronze")
     versions = SilverVersions(house, feed)
-    for name, part in (("orders_draft", draft.where(late < 2)), ("orders_final", text.where(late > 0))):
-        deliver_csv(part, f"{root}/landing", name)
-        deliveries.land_waiting(f"{root}/landing", feed.glob)
+
+    def take_in() -> None:
+        deliveries.land_waiting(f"{root}/landing", feed.glob, clean=True)
         versions.refresh(deliveries)
+
+    with stored([rows.where(late == k) for k in range(3)], "orders-text") as text:
+        draft = text.withColumn("net_amount_usd", F.when(late == 1, F.lit("0.01")).otherwise(F.col("net_amount_usd")))
+        deliver_csv(draft.where(late < 2), f"{root}/landing", "orders_draft")
+        take_in()
+        deliver_csv(text.where(late > 0), f"{root}/landing", "orders_final")
+    take_in()
     return house[feed.silver_table]
 
 

@@ -1,7 +1,8 @@
 """Cleaned tables kept up to date from new deliveries alone.
 
 A table's rows lie in buckets by hash of the key. A refresh reads the batches that landed since the last one, takes the
-newest row of each key they touch, and rewrites only the buckets of these keys, into a folder of the new version. Then a
+newest row of each key they touch, and rewrites only the buckets of these keys, into a folder of the new version. Much
+data is taken in rounds of some buckets each, whose intermediate rows and shuffle files go before the next. Then a
 manifest line names the version of each bucket, and last the table's view moves to these folders in one catalog call. So
 readers see the old rows or the new ones, and a refresh that dies is repeated or completed by the next.
 """
@@ -9,18 +10,21 @@ readers see the old rows or the new ones, and a refresh that dies is repeated or
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.operators.quality import Expectation, keep_valid, observe_expectations
 from tallyforge.operators.silver import RESCUED_LINES, cast_rules, latest_deliveries, typed_columns
-from tallyforge.plans.forecast import materialise
+from tallyforge.session import brief_shuffles, stored, stored_bytes
 from tallyforge.sources.feeds import RESCUED, Feed
 from tallyforge.sources.warehouse import Warehouse
 from tallyforge.streaming.deliveries import Deliveries
 
 BUCKETS = 32
+# Stored bytes of a round, of landed and old rows together; a round takes one bucket at least.
+ROUND_BYTES = 2**29
 BUCKET = "_bucket"
 MANIFEST_SCHEMA = "version int, batch long, buckets int, places map<int,int>"
 
@@ -38,8 +42,11 @@ class Version:
 class SilverVersions:
     """The cleaned table of one feed as a view over versioned buckets; one writer at a time."""
 
-    def __init__(self, warehouse: Warehouse, feed: Feed, buckets: int = BUCKETS) -> None:
+    def __init__(
+        self, warehouse: Warehouse, feed: Feed, buckets: int = BUCKETS, round_bytes: int = ROUND_BYTES
+    ) -> None:
         self.warehouse, self.spark, self.feed, self.buckets = warehouse, warehouse.spark, feed, buckets
+        self.round_bytes = round_bytes
         place = self.spark.catalog.getDatabase(warehouse.database).locationUri.rstrip("/")
         self.base = f"{place}/{feed.silver_table}__versions"
 
@@ -62,15 +69,27 @@ class SilverVersions:
     def _bucket(self, buckets: int) -> Column:
         return F.pmod(F.hash(self.feed.key), F.lit(buckets))
 
-    def _rows(self, places: dict[int, int], wanted: set[int] | None = None) -> DataFrame | None:
+    def _landed_bucket(self, buckets: int) -> Column:
+        """Bucket of a row that is still text: the typed key decides."""
+        kind = dict(self.feed.columns)[self.feed.key]
+        key = F.col(self.feed.key) if kind == "string" else F.col(self.feed.key).try_cast(kind)
+        return F.pmod(F.hash(key), F.lit(buckets))
+
+    def _paths(self, places: dict[int, int], wanted: list[int]) -> list[str]:
+        return [f"{self._folder(places[b])}/{BUCKET}={b}" for b in wanted if b in places]
+
+    def _rows(self, places: dict[int, int], wanted: list[int]) -> DataFrame | None:
         """Rows of the wanted buckets; folders of other buckets are not read."""
-        by_version: dict[int, list[int]] = {}
-        for bucket, version in places.items():
-            if wanted is None or bucket in wanted:
-                by_version.setdefault(version, []).append(bucket)
-        paths = [f"{self._folder(v)}/{BUCKET}={b}" for v, numbers in by_version.items() for b in numbers]
+        paths = self._paths(places, wanted)
         return self.spark.read.parquet(*paths) if paths else None
 
+    def _rounds(self, touched: list[int], old: Version, deliveries: Deliveries) -> list[list[int]]:
+        """The touched buckets by round; one round also where there is none."""
+        size = stored_bytes(self.spark, deliveries.folders(old.batch) + self._paths(old.places, touched))
+        number = max(1, min(len(touched), ceil(size / self.round_bytes)))
+        # Neighbours together: every n-th bucket would meet few of the shuffle partitions, which go by the same hash.
+        return [touched[k * len(touched) // number : (k + 1) * len(touched) // number] for k in range(number)]
+
     def refresh(self, deliveries: Deliveries) -> dict[str, int]:
         """Take in what has landed since the last refresh; returns the violation counts of the rows taken in.
 
@@ -82,23 +101,16 @@ class SilverVersions:
             self._show(old)
             return {"rows": 0}
         landed = deliveries.rows(after=old.batch)
-        raw, casts = observe_expectations(
-            latest_deliveries(landed, self.feed), cast_rules(self.feed), f"{self.feed.silver_table}_casts"
-        )
-        # Counted, not yet dropped: also a row that fails takes the place of its key's old row.
-        soft = [Expectation(rule.name, rule.predicate) for rule in self.feed.rules]
-        typed, rules = observe_expectations(raw.select(*typed_columns(self.feed)), soft, f"{self.feed.silver_table}_rules")
-        fresh = materialise(typed.withColumn(BUCKET, self._bucket(old.buckets)), f"{self.feed.silver_table}-fresh")
-        counts = {**casts.get, **rules.get, RESCUED_LINES: landed.where(F.col(RESCUED).isNotNull()).count()}
-        touched = {r[BUCKET] for r in fresh.select(BUCKET).distinct().collect()}
-        merged = keep_valid(fresh, self.feed.rules).drop(BUCKET)
-        before = self._rows(old.places, touched)
-        if before is not None:
-            merged = before.join(fresh.select(self.feed.key), self.feed.key, "left_anti").select(merged.columns).union(merged)
-        version = old.version + 1
-        # One shuffle: the join, like the folders, goes by the key's bucket or by the key.
-        dealt = merged.withColumn(BUCKET, self._bucket(old.buckets)).hint("rebalance", BUCKET)
-        dealt.write.mode("overwrite").partitionBy(BUCKET).parquet(self._folder(version))
+        bucket = self._landed_bucket(old.buckets)
+        whole = landed.where(F.col(RESCUED).isNull())
+        touched = sorted(r[BUCKET] for r in whole.select(bucket.alias(BUCKET)).distinct().collect())
+        rounds = self._rounds(touched, old, deliveries)
+        version, counts = old.version + 1, {}
+        for number, wanted in enumerate(rounds):
+            part = landed if len(rounds) == 1 else landed.where(bucket.isin(wanted))
+            found = self._merge(part, old, wanted, version, "append" if number else "overwrite")
+            counts = {name: counts.get(name, 0) + count for name, count in found.items()}
+        counts[RESCUED_LINES] = landed.where(F.col(RESCUED).isNotNull()).count()
         filled = self._filled(version) if touched else set()
         places = {b: v for b, v in old.places.items() if b not in touched} | {b: version for b in filled}
         new = Version(version, last, old.buckets, places)
@@ -107,6 +119,27 @@ class SilverVersions:
         self._clean(old, new)
         return counts
 
+    def _merge(self, landed: DataFrame, old: Version, wanted: list[int], version: int, mode: str) -> dict[str, int]:
+        """Write the buckets of a round into the version's folder; returns the counts of its newest rows."""
+        raw, casts = observe_expectations(
+            latest_deliveries(landed, self.feed), cast_rules(self.feed), f"{self.feed.silver_table}_casts"
+        )
+        # Counted, not yet dropped: also a row that fails takes the place of its key's old row.
+        soft = [Expectation(rule.name, rule.predicate) for rule in self.feed.rules]
+        typed, rules = observe_expectations(raw.select(*typed_columns(self.feed)), soft, f"{self.feed.silver_table}_rules")
+        with stored([typed], f"{self.feed.silver_table}-fresh") as fresh:
+            merged = keep_valid(fresh, self.feed.rules)
+            before = self._rows(old.places, wanted)
+            if before is not None:
+                kept = before.join(fresh.select(self.feed.key), self.feed.key, "left_anti")
+                merged = kept.select(merged.columns).union(merged)
+            # One shuffle: the join, like the folders, goes by the key's bucket or by the key.
+            dealt = merged.withColumn(BUCKET, self._bucket(old.buckets)).hint("rebalance", BUCKET)
+            writer = dealt.write.mode(mode).option("compression", "zstd").partitionBy(BUCKET)
+            with brief_shuffles(self.spark):
+                writer.parquet(self._folder(version))
+        return {**casts.get, **rules.get}
+
     def _filled(self, version: int) -> set[int]:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self._folder(version))
         found = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(path)

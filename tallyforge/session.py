@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution does the run-time sizing: it merges small shuffle
 # partitions, splits skewed join partitions and turns a join into a broadcast
@@ -20,6 +22,8 @@ DEFAULT_CONF = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def local_session(
     cores: int | str = 8, app: str = "tallyforge", conf: dict | None = None
@@ -63,6 +67,52 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def stored(parts: Sequence[DataFrame], purpose: str) -> Iterator[DataFrame]:
+    """The rows of all parts, in the shared folder until the block ends.
+
+    The parts are written one after the other, so only one of them has its shuffle files on disk.
+    """
+    spark = parts[0].sparkSession
+    path = scratch_path(spark, purpose)
+    try:
+        with brief_shuffles(spark):
+            for part in parts:
+                part.write.mode("append").option("compression", "zstd").parquet(path)
+        yield spark.read.parquet(path)
+    finally:
+        remove(spark, path)
+
+
+@contextmanager
+def brief_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Queries that run in the block delete their shuffle files as they end.
+
+    Otherwise these go when the driver's memory is collected, which a driver with much of it may do after hours. A frame
+    that runs again shuffles again.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def stored_bytes(spark: SparkSession, folders: Iterable[str]) -> int:
+    paths = [spark._jvm.org.apache.hadoop.fs.Path(folder) for folder in folders]
+    conf = spark._jsc.hadoopConfiguration()
+    return sum(path.getFileSystem(conf).getContentSummary(path).getLength() for path in paths)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Give ``DataFrame.checkpoint`` a place to write when none is set yet."""
     context = spark.sparkContext

@@ -71,35 +71,57 @@ class Deliveries:
         if not after:
             return read.parquet(self.out).where(F.col(BATCH) <= last)
         # A folder for each batch: only those asked for are listed and read.
-        filled = self.ledger().where((F.col("batch") > after) & (F.col("rows") > 0)).select("batch").distinct()
-        folders = [f"{self.out}/{BATCH}={r.batch}" for r in filled.collect()]
+        folders = self.folders(after)
         if not folders:
             return self.spark.createDataFrame([], full)
         return read.option("basePath", self.out).parquet(*folders)
 
+    def folders(self, after: int = 0) -> list[str]:
+        """Folders of the batches with rows that came after the given one."""
+        filled = self.ledger().where((F.col("batch") > after) & (F.col("rows") > 0)).select("batch").distinct()
+        return [f"{self.out}/{BATCH}={r.batch}" for r in filled.collect()]
+
     def last_batch(self) -> int:
         return self.ledger().agg(F.max("batch")).first()[0] or 0
 
     def waiting(self, folder: str, pattern: str) -> DataFrame:
         """Deliveries in ``folder`` that the ledger doesn't hold."""
+        return self._new(self._listed(folder, pattern))
+
+    def _listed(self, folder: str, pattern: str) -> DataFrame:
         listed = self.spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-        listed = listed.selectExpr(*_LISTED)
-        return self._new(listed)
+        return listed.selectExpr(*_LISTED)
 
     def _new(self, listed: DataFrame) -> DataFrame:
         known = self.ledger().select(*_DELIVERY)
         return listed.join(known, _DELIVERY, "left_anti").select("path", "name", "length", "modified")
 
-    def land_waiting(self, folder: str, pattern: str, max_files: int = MAX_FILES) -> int:
-        """Land all that waits; returns the number of files."""
+    def land_waiting(self, folder: str, pattern: str, max_files: int = MAX_FILES, clean: bool = False) -> int:
+        """Land all that waits; returns the number of files.
+
+        With ``clean`` the files of a batch are deleted once the ledger holds them, as are those that a run which died
+        had landed.
+        """
         landed = 0
         while True:
+            if clean:
+                self._clean(folder, pattern)
             step = self.waiting(folder, pattern).orderBy("modified", "path").limit(max_files).collect()
             if not step:
                 return landed
             self._land([tuple(r) for r in step])
             landed += len(step)
 
+    def _clean(self, folder: str, pattern: str) -> None:
+        """Delete files that have landed; one that has changed since is another delivery and stays."""
+        known = self._listed(folder, pattern).join(self.ledger().select(*_DELIVERY), _DELIVERY, "left_semi")
+        for file, length, modified in known.selectExpr("path", "length", "unix_millis(modified)").collect():
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(file)
+            files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+            found = files.getFileStatus(path)
+            if (found.getLen(), found.getModificationTime()) == (length, modified):
+                files.delete(path, False)
+
     def watch(self, folder: str, pattern: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
         """Land new files as a stream, until stopped or, without an interval, until none waits.
 
@@ -141,7 +163,7 @@ class Deliveries:
         target = f"{self.out}/{BATCH}={batch}"
         if parts:
             rows = reduce(DataFrame.unionByName, parts).withColumn(INGESTED_AT, F.current_timestamp())
-            rows.write.mode("overwrite").parquet(target)
+            rows.write.mode("overwrite").option("compression", "zstd").parquet(target)
             counted = self.spark.read.parquet(target).groupBy(SOURCE_FILE).count().collect()
         else:
             counted = []

@@ -1,12 +1,16 @@
 """Refreshed tables against rebuilds from all of bronze, what a refresh reads and rewrites, and refreshes that die."""
 
+import time
 import uuid
+from datetime import datetime
 from pathlib import Path
 
 import pytest
 
+from __spark_entry__ import silver_incremental
 from tallyforge.operators.silver import to_silver
 from tallyforge.plans.incremental import SilverVersions
+from tallyforge.session import SHUFFLE_CLEANUP, shared_root, stored
 from tallyforge.sources.feeds import FEEDS
 from tallyforge.sources.warehouse import Warehouse
 from tallyforge.streaming.ingest import feed_deliveries
@@ -92,6 +96,105 @@ def test_a_refresh_that_dies_leaves_old_or_new_rows(place, monkeypatch, step):
     assert new == rows(to_silver(deliveries.rows(), FX).select(house[FX.silver_table].columns))
 
 
+def test_rounds_give_the_rows_and_counts_of_one_refresh(place, spark):
+    land, deliveries, silver, house = place
+    small = SilverVersions(Warehouse(spark, f"plan_{uuid.uuid4().hex[:8]}"), FX, buckets=8, round_bytes=1)
+    steps = [
+        [rate(f"FX{k}", 1 + k / 10) for k in range(40)],
+        [*[rate(f"FX{k}", -k) for k in range(20, 60)], rate("", 1.0), rate("FX2", "oops"), "FX3,EUR"],
+        [rate("FX5", 3.0)],
+        ["FX4"],
+    ]
+    for number, lines in enumerate(steps):
+        land(f"fx_rates_{number}.csv", *lines)
+        assert small.refresh(deliveries) == silver.refresh(deliveries)
+        assert rows(small.warehouse[FX.silver_table]) == rows(house[FX.silver_table])
+        assert set(small.current().places) == set(silver.current().places)
+    assert len(small._rounds(list(range(8)), small.current(), deliveries)) == 8
+
+
+def test_a_refresh_leaves_no_rows_of_its_own(place, spark):
+    land, deliveries, silver, _ = place
+
+    def left():
+        return {p.name for p in Path(shared_root(spark)).glob("*-fresh-*")}
+
+    before = left()
+    land("fx_rates_1.csv", rate("FX1", 1.0))
+    silver.refresh(deliveries)
+    land("fx_rates_2.csv", rate("FX1", 2.0))
+    silver.refresh(deliveries)
+    assert left() == before
+
+
+def test_stored_rows_go_and_so_do_the_shuffle_files_of_their_jobs(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        files = blocks.getAllFiles()
+        names = {files.apply(k).getName() for k in range(files.size())}
+        return {n for n in names if n.startswith("shuffle_")}
+
+    before = shuffles()
+    dealt = spark.range(1000).repartition(4, "id")
+    with stored([dealt.where("id < 400"), dealt.where("id >= 400")], "test-stored") as found:
+        (path,) = {file.rsplit("/", 1)[0].removeprefix("file://") for file in found.inputFiles()}
+        until = time.time() + 30
+        while (left := shuffles() - before) and time.time() < until:
+            time.sleep(0.5)
+        assert not left
+        assert sorted(r.id for r in found.collect()) == list(range(1000))
+    assert not Path(path).exists() and spark.conf.get(SHUFFLE_CLEANUP, None) is None
+
+
+def test_landed_files_go_and_changed_ones_stay(place, spark):
+    land, deliveries, silver, house = place
+    landing = Path(deliveries.out).parent.parent / "landing"
+    (landing / "other.csv").write_text("kept")
+    land("fx_rates_0.csv", rate("FX0", 1.0))
+    (landing / "fx_rates_1.csv").write_text("\n".join([HEADER, rate("FX1", 1.0)]) + "\n")
+    # The first file landed in a run that didn't delete it, and it has changed since.
+    (landing / "fx_rates_0.csv").write_text("\n".join([HEADER, rate("FX0", 2.0), rate("FX9", 1.0)]) + "\n")
+    assert deliveries.land_waiting(str(landing), FX.glob, clean=True) == 2
+    assert [p.name for p in landing.iterdir() if p.suffix == ".csv"] == ["other.csv"]
+    assert deliveries.land_waiting(str(landing), FX.glob, clean=True) == 0
+    silver.refresh(deliveries)
+    assert {r.rate_id: float(r.spot_rate) for r in house[FX.silver_table].collect()} == {"FX0": 2.0, "FX1": 1.0, "FX9": 1.0}
+
+
+def test_a_file_that_changes_while_others_are_deleted_stays(place, monkeypatch):
+    land, deliveries, _, _ = place
+    landing = Path(deliveries.out).parent.parent / "landing"
+    land("fx_rates_0.csv", rate("FX0", 1.0))
+    listed = type(deliveries)._listed
+
+    def changed_after_listing(self, folder, pattern):
+        found = listed(self, folder, pattern).localCheckpoint()
+        (landing / "fx_rates_0.csv").write_text("\n".join([HEADER, rate("FX0", 1.0), rate("FX1", 1.0)]) + "\n")
+        return found
+
+    with monkeypatch.context() as late:
+        late.setattr(type(deliveries), "_listed", changed_after_listing)
+        deliveries._clean(str(landing), FX.glob)
+    assert (landing / "fx_rates_0.csv").exists()
+    assert deliveries.land_waiting(str(landing), FX.glob, clean=True) == 1
+    assert not (landing / "fx_rates_0.csv").exists()
+
+
+def test_the_query_leaves_no_deliveries_and_no_text(spark, make, tmp_path):
+    lines = [(k, 7, k % 4, 3.0, 10.0 + k, 0.05, datetime(2000, 1, 2)) for k in range(30)]
+    kinds = "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_extendedprice double"
+    make(lines, f"{kinds}, l_discount double, l_shipdate timestamp").write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders = make([(k, 5, "O", datetime(2000, 1, 1)) for k in range(25)], "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp")
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    root = Path(shared_root(spark))
+    before = set(root.iterdir())
+    found = silver_incremental(spark, str(tmp_path)).select("order_id", "unit_price", "net_amount_usd").collect()
+    assert len(found) == 25 and len({r.order_id for r in found}) == 25 and min(r.net_amount_usd for r in found) > 1
+    (made,) = set(root.iterdir()) - before
+    assert made.name.startswith("incremental-") and not list(made.glob("landing/*.csv"))
+
+
 def test_nothing_landed_gives_an_empty_table(place, spark):
     _, deliveries, silver, house = place
     silver.refresh(deliveries)
