@@ -154,11 +154,12 @@ def silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
         deliveries.land_waiting(f"{root}/landing", feed.glob, clean=True)
         versions.refresh(deliveries)
 
-    with stored([rows.where(late == k) for k in range(3)], "orders-text") as text:
-        draft = text.withColumn("net_amount_usd", F.when(late == 1, F.lit("0.01")).otherwise(F.col("net_amount_usd")))
-        deliver_csv(draft.where(late < 2), f"{root}/landing", "orders_draft")
+    with stored([rows.where(late == 1), rows.where(late == 2)], "orders-text") as final:
+        draft = final.where(late == 1).withColumn("net_amount_usd", F.lit("0.01"))
+        with stored([rows.where(late == 0)], "orders-text") as early:
+            deliver_csv(early.unionByName(draft), f"{root}/landing", "orders_draft")
         take_in()
-        deliver_csv(text.where(late > 0), f"{root}/landing", "orders_final")
+        deliver_csv(final, f"{root}/landing", "orders_final")
     take_in()
     return house[feed.silver_table]
 
