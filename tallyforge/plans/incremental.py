@@ -24,7 +24,7 @@ from tallyforge.streaming.deliveries import Deliveries
 
 BUCKETS = 32
 # Stored bytes of a round, of landed and old rows together; a round takes one bucket at least.
-ROUND_BYTES = 2**30
+ROUND_BYTES = 2**29
 BUCKET = "_bucket"
 MANIFEST_SCHEMA = "version int, batch long, buckets int, places map<int,int>"
 
